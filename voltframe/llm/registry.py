@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query name: module of this package that has the function of that name.
 MODULES = {
+    "op1_toxicity": "toxicity",
+    "op2_language": "language",
     "op3_bpe": "bpe",
+    "op5_topk": "topk",
     "op6_secrets": "secrets",
+    "op7_decontaminate": "decontaminate",
     "op10_token_counts": "token_count",
 }
 
@@ -20,4 +24,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import topk
+
+    return {"op5_topk": topk.ORACLE}
