@@ -12,9 +12,12 @@ MODULES = {
     "op1_toxicity": "toxicity",
     "op2_language": "language",
     "op3_bpe": "bpe",
+    "op4_suffix_dedup": "suffix_dedup",
     "op5_topk": "topk",
     "op6_secrets": "secrets",
     "op7_decontaminate": "decontaminate",
+    "op8_ngram_join": "ngram_join",
+    "op9_substring_dedup": "substring_dedup",
     "op10_token_counts": "token_count",
 }
 
