@@ -111,7 +111,7 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
     at once; a pass over the blocks of each sequence gives the messages between them, a second pass the words'.
     """
     k, n = scores.shape[1], len(scores)
-    if not n:
+    if not n or not k:
         return scores.astype(float)
     a = np.exp(transitions - transitions.max())
     counts = -(-lengths // block)
