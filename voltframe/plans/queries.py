@@ -133,16 +133,14 @@ def anti_dim(spark, sf_dir):
     return rel.anti(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), o, "c_custkey")
 
 
-_SETS = "SELECT {k}, string_agg(DISTINCT CAST(l_suppkey % 3 AS VARCHAR), '|' ORDER BY CAST(l_suppkey % 3 AS VARCHAR)) AS s FROM lineitem WHERE l_orderkey % 2 = {r} AND l_orderkey < {m} GROUP BY 1"
+_SETS = "SELECT {k}, string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), '|' ORDER BY CAST(l_linenumber AS VARCHAR)) AS s FROM lineitem GROUP BY 1"
 
 
-@query(f"""WITH a AS ({_SETS.format(k='l_orderkey AS order_a', r=0, m=400)}), b AS ({_SETS.format(k='l_orderkey AS order_b', r=1, m=12)}), o AS (SELECT s, min(order_b) AS order_b FROM b GROUP BY s HAVING count(*) = 1)
-SELECT order_a, order_b FROM a JOIN o USING (s)""")
+@query(f"""WITH a AS ({_SETS.format(k='l_orderkey AS order_a')}), b AS ({_SETS.format(k='l_partkey AS part_b')}), o AS (SELECT s, min(part_b) AS part_b FROM b GROUP BY s HAVING count(*) = 1)
+SELECT order_a, part_b FROM a JOIN o USING (s)""")
 def set_equality_match(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("m", F.col("l_suppkey") % 3)
-    a = li.where("l_orderkey % 2 = 0 and l_orderkey < 400").withColumn("order_a", F.col("l_orderkey"))
-    b = li.where("l_orderkey % 2 = 1 and l_orderkey < 12").withColumn("order_b", F.col("l_orderkey"))
-    return rel.equal_sets(a, b, "order_a", "order_b", "m")
+    li = table(spark, sf_dir, "lineitem")
+    return rel.equal_sets(li.withColumnRenamed("l_orderkey", "order_a"), li.withColumnRenamed("l_partkey", "part_b"), "order_a", "part_b", "l_linenumber")
 
 
 @query("""WITH a AS (SELECT DISTINCT left(p_brand, length(p_brand) - 1) AS stem FROM part), b AS (SELECT DISTINCT p_brand AS brand FROM part)
@@ -190,15 +188,16 @@ def bus_key(spark, sf_dir):
 
 
 def grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A network of suppliers: for each return flag, suppliers of the first lines of scarce orders are joined."""
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 1 and l_suppkey <> l_partkey")
-    edges = li.select(F.col("l_returnflag").alias("snap"), (F.col("l_suppkey") % 100).alias("a"), (F.col("l_partkey") % 100).alias("b"), (F.col("l_linenumber") < 2).alias("live"))
-    nodes = spark.range(100).select(F.col("id").alias("node")).crossJoin(edges.select("snap").distinct())
-    return nodes, edges
+    """A network for each return flag: every line joins its customer (even node) and supplier (odd); first lines of the largest quantity are in service."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    edges = j.select(F.col("l_returnflag").alias("snap"), (F.col("o_custkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b"), ((F.col("l_linenumber") == 1) & (F.col("l_quantity") == 50)).alias("live"))
+    ends = edges.select("snap", F.col("a").alias("node")).union(edges.select("snap", "b"))
+    return ends.distinct(), edges
 
 
-_GRID = """edges AS (SELECT l_returnflag AS snap, l_suppkey % 100 AS a, l_partkey % 100 AS b, l_linenumber < 2 AS live FROM lineitem WHERE l_orderkey % 50 = 1 AND l_suppkey <> l_partkey),
-nodes AS (SELECT CAST(n AS BIGINT) AS node, snap FROM range(100) r(n), (SELECT DISTINCT snap FROM edges)),
+_GRID = """edges AS (SELECT l_returnflag AS snap, o_custkey * 2 AS a, l_suppkey * 2 + 1 AS b, l_linenumber = 1 AND l_quantity = 50 AS live FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+nodes AS (SELECT snap, a AS node FROM edges UNION SELECT snap, b FROM edges),
 e AS (SELECT snap, a, b FROM edges WHERE live AND a <> b UNION SELECT snap, b, a FROM edges WHERE live AND a <> b),
 reach(snap, node, other) AS (SELECT snap, node, node FROM nodes UNION SELECT r.snap, r.node, e.b FROM reach r JOIN e ON r.snap = e.snap AND r.other = e.a),
 comp AS (SELECT snap, node, min(other) AS component FROM reach GROUP BY ALL)"""
