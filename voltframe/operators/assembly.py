@@ -36,6 +36,11 @@ class Network:
     dropped_buses: DataFrame
     dropped_branches: DataFrame
 
+    def solver_rows(self) -> DataFrame:
+        """Branches as the DC functions take them."""
+        at = self.slacks.join(self.buses.select(S, F.col("bus_id").alias("slack"), F.col("bus_index").alias("slack_index")), [S, "slack"]).select(S, "slack_index")
+        return self.branches.join(at, S).select(S, "branch_index", "from_index", "to_index", "x_pu", "tap_ratio", "slack_index")
+
     def summary(self) -> DataFrame:
         """snapshot_id, name, n: rows of each part."""
         parts = ("buses", "branches", "contingencies", "gtc_members", "point_buses", "dropped_buses", "dropped_branches")

@@ -383,3 +383,53 @@ def price_identity(spark, sf_dir):
     w = table(spark, sf_dir, "nation").select(F.lit("t").alias("snapshot_id"), F.col("n_nationkey").cast("long").alias("point"), (F.col("n_nationkey") % 4).cast("long").alias("bus_index"), F.lit(1.0).alias("weight"))
     mu = spark.createDataFrame([("t", 0, 1, 12.0, 25.0)], "snapshot_id string, branch_index long, sign int, shadow_price double, system_price double")
     return node_prices(w, dc.shift_factors(triangle(spark)), mu).select("point", money(F.col("price"), 6).alias("price"))
+
+
+@query("""WITH p AS (SELECT o_orderpriority AS emil_id, CAST(o_orderkey AS VARCHAR) AS blob, o_orderdate AS posted, CASE o_orderstatus WHEN 'F' THEN 'dam' WHEN 'O' THEN 'monthly' ELSE 'annual' END AS kind, CAST(o_orderdate AS DATE) AS d, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(year(o_orderdate) AS VARCHAR) AS term, CAST(quarter(o_orderdate) AS BIGINT) AS seq FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY emil_id, kind, CASE WHEN kind = 'dam' THEN d WHEN kind = 'monthly' THEN m END, CASE WHEN kind = 'annual' THEN term END, CASE WHEN kind = 'annual' THEN seq END ORDER BY posted, blob) AS rev FROM p)
+SELECT emil_id, blob AS blob_sha256, CAST(rev AS BIGINT) AS revision, CASE kind WHEN 'dam' THEN 'dam:' || CAST(d AS VARCHAR) || ':he0' || CAST(h AS VARCHAR) || ':r' || CAST(rev AS VARCHAR) WHEN 'monthly' THEN 'crr:monthly:' || strftime(m, '%Y-%m') || ':r' || CAST(rev AS VARCHAR) ELSE 'crr:annual:' || term || ':seq' || CAST(seq AS VARCHAR) || ':' || strftime(m, '%Y-%m') || ':r' || CAST(rev AS VARCHAR) END AS snapshot_id
+FROM r, (VALUES (1), (2)) v(h) WHERE kind = 'dam' OR h = 1""")
+def snapshot_ids(spark, sf_dir):
+    from ..operators.core import snapshots
+
+    status, date = F.col("o_orderstatus"), F.to_date("o_orderdate")
+    annual = status == "P"
+    packages = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("emil_id"), F.col("o_orderkey").cast("string").alias("doc_id"), F.col("o_orderkey").cast("string").alias("blob_sha256"), F.col("o_orderdate").alias("posted_at"),
+        F.when(status == "F", "dam").when(status == "O", "monthly").otherwise("annual").alias("kind"), F.when(status == "F", date).alias("operating_date"),
+        F.when(status == "F", F.array(F.lit(2).cast("long"), F.lit(1).cast("long"))).alias("hours"), F.when(status != "F", F.array(F.trunc(date, "month"))).alias("months"),
+        F.when(annual, F.year(date).cast("string")).alias("term"), F.when(annual, F.quarter(date).cast("long")).alias("sequence"),
+    )
+    return snapshots(packages).select("emil_id", "blob_sha256", "revision", "snapshot_id")
+
+
+@query("""WITH src AS (SELECT c_nationkey AS snap, c_mktsegment AS point, c_custkey AS node, abs(c_acctbal) AS raw FROM customer),
+j AS (SELECT snap, point, 'B' || CAST(s_nationkey AS VARCHAR) AS bus, raw, s_suppkey IS NOT NULL AS ok FROM src LEFT JOIN supplier ON node = s_suppkey)
+SELECT CAST(snap AS VARCHAR) AS snapshot_id, point AS settlement_point_id, CASE WHEN starts_with(point, 'HB_') THEN 'hub' WHEN starts_with(point, 'LZ_') THEN 'load_zone' WHEN starts_with(point, 'DC') THEN 'dc_tie' ELSE 'resource_node' END AS kind,
+ count(DISTINCT bus) FILTER (ok) AS n_buses, count(*) FILTER (NOT ok) AS n_unresolved, round(coalesce(sum(raw) FILTER (ok), 0), 2) AS weight_sum_raw FROM j GROUP BY snap, point""")
+def auction_points(spark, sf_dir):
+    from ..operators.core import crr_settlement_points
+
+    c = table(spark, sf_dir, "customer")
+    nodes = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("node_number"), F.concat(F.lit("B"), F.col("s_nationkey").cast("string")).alias("bus_key"))
+    nodes = c.select(F.col("c_nationkey").cast("string").alias("snapshot_id"), F.col("c_custkey").alias("node_number")).distinct().join(nodes, "node_number")
+    sources = c.select(F.col("c_nationkey").cast("string").alias("snapshot_id"), F.col("c_mktsegment").alias("name"), F.concat(F.col("c_custkey").cast("string"), F.lit(" STN")).alias("bus_name"), F.abs("c_acctbal").alias("participation_factor"))
+    points, _ = crr_settlement_points(nodes, sources)
+    return points.select("snapshot_id", "settlement_point_id", "kind", "n_buses", "n_unresolved", F.round("weight_sum_raw", 2).alias("weight_sum_raw"))
+
+
+@query("""WITH a AS (SELECT c_custkey % 1000 AS name, 'L' || CAST(c_nationkey AS VARCHAR) AS br FROM customer), b AS (SELECT s_suppkey AS name, 'L' || CAST(s_nationkey AS VARCHAR) AS br FROM supplier),
+ca AS (SELECT name, list_sort(list_distinct(list(br))) AS sa FROM a GROUP BY name), cb AS (SELECT name, list_sort(list_distinct(list(br))) AS sb FROM b GROUP BY name),
+n AS (SELECT name AS x, name AS y, sa, sb FROM ca JOIN cb USING (name)), ra AS (SELECT * FROM ca WHERE name NOT IN (SELECT x FROM n)), rb AS (SELECT * FROM cb WHERE name NOT IN (SELECT y FROM n)),
+ub AS (SELECT sb, min(name) AS y FROM rb GROUP BY sb HAVING count(*) = 1), m0 AS (SELECT ra.name AS x, y, sa, sb FROM ra JOIN ub ON sa = sb), m AS (SELECT * FROM m0 WHERE y IN (SELECT y FROM m0 GROUP BY y HAVING count(*) = 1)),
+done AS (SELECT *, 'name' AS method FROM n UNION ALL SELECT *, 'members' FROM m)
+SELECT CAST(x AS VARCHAR) AS crr_contingency_id, CAST(y AS VARCHAR) AS dam_contingency_id, method AS match_method, CAST(len(list_intersect(sa, sb)) AS BIGINT) AS n_shared_branches FROM done
+UNION ALL SELECT CAST(name AS VARCHAR), NULL, 'unmatched', 0 FROM ca WHERE name NOT IN (SELECT x FROM done) UNION ALL SELECT NULL, CAST(name AS VARCHAR), 'unmatched', 0 FROM cb WHERE name NOT IN (SELECT y FROM done)""")
+def contingency_match(spark, sf_dir):
+    from ..operators.match import match_contingencies
+
+    pair = F.lit("p").alias("pair_id")
+    c = table(spark, sf_dir, "customer").select(pair, (F.col("c_custkey") % 1000).cast("string").alias("contingency_id"), F.concat(F.lit("L"), F.col("c_nationkey").cast("string")).alias("branch_id"))
+    s = table(spark, sf_dir, "supplier").select(pair, F.col("s_suppkey").cast("string").alias("contingency_id"), F.concat(F.lit("L"), F.col("s_nationkey").cast("string")).alias("branch_id"), F.lit("branch").alias("element_kind"), F.lit("outage").alias("operation"))
+    same = c.select("pair_id", F.col("branch_id").alias("crr_branch_id"), F.col("branch_id").alias("dam_branch_id"), F.lit("exact").alias("match_method")).distinct()
+    return match_contingencies(c, s, same).select("crr_contingency_id", "dam_contingency_id", "match_method", "n_shared_branches")
