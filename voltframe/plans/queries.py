@@ -433,3 +433,31 @@ def contingency_match(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select(pair, F.col("s_suppkey").cast("string").alias("contingency_id"), F.concat(F.lit("L"), F.col("s_nationkey").cast("string")).alias("branch_id"), F.lit("branch").alias("element_kind"), F.lit("outage").alias("operation"))
     same = c.select("pair_id", F.col("branch_id").alias("crr_branch_id"), F.col("branch_id").alias("dam_branch_id"), F.lit("exact").alias("match_method")).distinct()
     return match_contingencies(c, s, same).select("crr_contingency_id", "dam_contingency_id", "match_method", "n_shared_branches")
+
+
+@query("""WITH f AS (SELECT p_brand, regexp_replace(regexp_replace(p_name, '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g') AS pattern, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY ALL)
+SELECT p_brand, pattern, n, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, pattern) AS rank FROM f) WHERE rank <= 3""")
+def masked_patterns(spark, sf_dir):
+    from ..operators.checks import patterns
+
+    return patterns(table(spark, sf_dir, "part"), ["p_brand"], "p_name")
+
+
+@query("""WITH m AS (SELECT upper(c_mktsegment) || CAST(c_custkey // 20 AS VARCHAR) AS substation, c_nationkey AS zone, sum(abs(c_acctbal)) AS mw FROM customer GROUP BY ALL),
+w AS (SELECT substation, sum(mw) AS model_mw, max_by(zone, {'mw': mw, 'zone': zone}) AS zone FROM m GROUP BY substation),
+p AS (SELECT upper(c_mktsegment) || CAST(c_custkey // 20 AS VARCHAR) AS substation, sum(o_totalprice) AS published FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+SELECT substation, zone, round(model_mw / sum(model_mw) OVER (PARTITION BY zone), 6) AS model_share, round(published / sum(published) OVER (PARTITION BY zone), 6) AS published_share FROM w JOIN p USING (substation)""")
+def load_shares(spark, sf_dir):
+    from ..operators.checks import load_shares as shares
+
+    c = table(spark, sf_dir, "customer").withColumn("substation", F.concat("c_mktsegment", F.expr("c_custkey div 20").cast("string")))
+    o = table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select("substation", F.col("o_totalprice").alias("factor"))
+    df = shares(c.select("substation", F.col("c_nationkey").alias("zone"), F.abs("c_acctbal").alias("mw")), o)
+    return df.select("substation", "zone", money(F.col("model_share"), 6).alias("model_share"), money(F.col("published_share"), 6).alias("published_share"))
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS day FROM orders INTERSECT SELECT CAST(l_shipdate AS DATE) FROM lineitem")
+def common_days(spark, sf_dir):
+    from ..operators.checks import common_days as common
+
+    return common(*[table(spark, sf_dir, t).select(F.to_date(c).alias("day")) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))])
