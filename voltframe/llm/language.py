@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, held_out, read, ship, steps
+from .common import held_out, read, ship, steps
 
 MAX_PER_LABEL, MAX_WORDS, MAX_LABELS = 200, 60_000, 200
 #: Each kind of feature has a table of so many weights of its own.
@@ -31,6 +31,8 @@ SPAN, SEQUENCE, BLOCK = 12, 48, 64
 #: Letters that n-gram features of one word see at most; the lexicon feature sees the whole word.
 LETTERS = 24
 CACHED = 300_000
+#: Bytes of text that are tagged at once; they bound memory, not input.
+TEXT_BYTES = 2 << 20
 WORD = re.compile(r"[^\W\d_]+")
 KINDS = 7  # lexicon, three beginnings, three ends; then n-grams
 
@@ -281,19 +283,24 @@ def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """id (or the columns ``keep``), lang_pred, score of each row."""
+    """id (or the columns ``keep``), __lang_pred, __score of each row. Only texts go to the workers and only predictions come back; the other columns stay in the JVM."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # (KINDS + 1) * SLOTS weights for each language
-    keep = [id_col] if keep is None else keep
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", __lang_pred string, __score double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("lang string, score double")
+    def tagged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = Tagger(sent.value)
-        for b in steps(batches, text_col, rows=1000, size=3 << 20):
-            lang, score = tagger.documents([x or "" for x in b.column(text_col).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.select(keep).columns, pa.array(lang), pa.array(score, pa.float64())], names=[*keep, "__lang_pred", "__score"])
-
-    return arrow_map(docs.select(*dict.fromkeys([*keep, text_col])), run, schema)
+        for column in batches:
+            langs: list[str] = []
+            scores: list[float] = []
+            for b in steps([pa.RecordBatch.from_arrays([column], names=["text"])], "text", rows=1000, size=TEXT_BYTES):
+                lang, score = tagger.documents([x or "" for x in b.column(0).to_pylist()])
+                langs += lang
+                scores += score
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
+
+    out = docs.withColumn("__tagged", tagged(F.col(text_col)))
+    return out.select(*([id_col] if keep is None else keep), F.col("__tagged.lang").alias("__lang_pred"), F.col("__tagged.score").alias("__score"))
 
 
 def accept(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", at_least: float = 0.35) -> DataFrame:
