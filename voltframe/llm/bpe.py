@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import STEP_BYTES, arrow_map, read, ship, steps
+from .common import arrow_map, read, ship, steps
 
 #: Words encoded by one query, and cached chunks of text before a worker's cache starts anew; both only bound memory.
-WORDS, CACHED = 100_000, 300_000
+WORDS, CACHED = 25_000, 300_000
+#: Bytes of text that are encoded at once.
+TEXT_BYTES = 4 << 20
 
 ENCODE = """
 WITH RECURSIVE state(turn, wp, tok) AS (
@@ -72,7 +74,13 @@ class Coder:
         self._table("vocabulary", tok=np.array(list(ranks.values()), np.int64), hex=pa.array([t.hex() for t in ranks]))
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        """Ids and decoded bytes of words, of pieces that begin a text, and of pieces after a space (kept without it)."""
+        self.words.clear()
+        self.first: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.later: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
 
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
@@ -100,25 +108,24 @@ class Coder:
         A single space after a character that is no white space always begins a match of the pattern, so that texts
         are cut there and each piece is coded once.
         """
-        if len(self.chunks) > CACHED:
-            self.chunks.clear()
-            self.words.clear()
-        cut = [[first, *(" " + x for x in rest)] for first, *rest in map(_SPACE.split, batch)]
-        new = {c for x in cut for c in x if c not in self.chunks}
-        parts = {c: self.split(c) for c in new}
-        todo = sorted({w for x in parts.values() for w in x if w not in self.words})
-        for i in range(0, len(todo), WORDS):
-            self._encode_words(todo[i : i + WORDS])
-        for c, ws in parts.items():
-            if len(ws) == 1:
-                self.chunks[c] = self.words[ws[0]]
-            else:
+        if len(self.later[0]) + len(self.first[0]) > CACHED:
+            self._clear()
+        cut = list(map(_SPACE.split, batch))
+        starts = {x[0] for x in cut} - self.first[0].keys()
+        rest = set().union(*(x[1:] for x in cut)) - self.later[0].keys()
+        for pieces, space, (ids, decoded) in ((starts, "", self.first), (rest, " ", self.later)):
+            parts = {c: self.split(space + c) for c in pieces}
+            todo = sorted({w for x in parts.values() for w in x if w not in self.words})
+            for i in range(0, len(todo), WORDS):
+                self._encode_words(todo[i : i + WORDS])
+            for c, ws in parts.items():
                 got = [self.words[w] for w in ws]
-                self.chunks[c] = b"".join(g[0] for g in got), b"".join(g[1] for g in got)
+                ids[c], decoded[c] = got[0] if len(got) == 1 else (b"".join(g[0] for g in got), b"".join(g[1] for g in got))
         out = []
         for x in cut:
-            got = list(map(self.chunks.__getitem__, x))
-            out.append((b"".join(g[0] for g in got), b"".join(g[1] for g in got)))
+            head, tail = x[0], x[1:]
+            i, d = (here[head] + b"".join(map(after.__getitem__, tail)) for here, after in zip(self.first, self.later, strict=True))
+            out.append((i, d))
         return out
 
 
@@ -146,7 +153,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks.value, pattern)
-        for b in steps(batches, text_col, size=STEP_BYTES):
+        for b in steps(batches, text_col, size=TEXT_BYTES):
             got = code.encode([x or "" for x in b.column(text_col).to_pylist()])
             cols = [b.column(id_col), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i, _ in got]), pa.array([hashlib.sha256(d).hexdigest() for _, d in got])]
             if with_ids:
