@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, read, ship, steps
+from .common import arrow_map, read, resident, ship, steps
 
 #: Words encoded by one query, and cached chunks of text before a worker's cache starts anew; both only bound memory.
 WORDS, CACHED = 25_000, 300_000
@@ -130,15 +130,9 @@ class Coder:
 
 
 _SPACE = re.compile(r"(?<=\S) ")
-_CODERS: dict[str, Coder] = {}
-
 
 def coder(ranks: bytes, pattern: str) -> Coder:
-    key = hashlib.sha256(ranks + pattern.encode()).hexdigest()
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(parse_ranks(ranks), pattern)
-    return _CODERS[key]
+    return resident(("bpe", hashlib.sha256(ranks + pattern.encode()).hexdigest()), lambda: Coder(parse_ranks(ranks), pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -160,7 +154,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
                 cols += [pa.array([np.frombuffer(i, "<u4").astype(np.int64) for i, _ in got], pa.list_(pa.int64())), pa.array([d.decode("utf-8", "replace") for _, d in got])]
             yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])])
 
-    return arrow_map(docs.select(id_col, text_col), run, schema)
+    return arrow_map(docs.select(id_col, text_col), run, schema, resides=True)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

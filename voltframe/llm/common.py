@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +73,37 @@ def texts(b: pa.RecordBatch, col: str) -> list[bytes]:
     return [x or b"" for x in b.column(col).cast(pa.binary()).to_pylist()]
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+_RESIDENT: dict[Hashable, Any] = {}
+
+
+def release() -> None:
+    """Drop what an earlier task left in this worker, and give its memory back."""
+    if _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def resident(key: Hashable, make: Callable[[], Any]) -> Any:
+    """A model that a worker keeps between tasks; it holds one at a time, so that stages don't pile theirs up."""
+    if key not in _RESIDENT:
+        release()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, *, resides: bool = False) -> DataFrame:
+    """``mapInArrow`` in a worker that is rid of other operators' models first; ``resides``: ``fn`` has a resident one itself."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from fn(batches)
+
+    return df.mapInArrow(fn if resides else run, schema)
 
 
 def grown(items: list[np.ndarray]) -> np.ndarray:

@@ -13,6 +13,7 @@ no more memory than its words. A null text or one without a letter is ``und`` wi
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read, ship, steps
+from .common import held_out, read, resident, ship, steps
 
 MAX_PER_LABEL, MAX_WORDS, MAX_LABELS = 200, 60_000, 200
 #: Each kind of feature has a table of so many weights of its own.
@@ -287,9 +288,11 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # (KINDS + 1) * SLOTS weights for each language
 
+    key = ("language", uuid.uuid4().hex)
+
     @F.arrow_udf("lang string, score double")
     def tagged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tagger = Tagger(sent.value)
+        tagger = resident(key, lambda: Tagger(sent.value))
         for column in batches:
             langs: list[str] = []
             scores: list[float] = []
