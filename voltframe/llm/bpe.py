@@ -2,11 +2,11 @@
 
 The merge table holds every (left id, right id) whose joined bytes are a token, with that token's id as rank. A
 recursive query takes token-position rows of many distinct words at once; each turn joins neighbours with the merge
-table, contracts each word's leftmost pair of least rank, and goes on with the words that changed. A second query
-decodes: the ids' bytes, aggregated in the order of their positions. Each distinct word is encoded once for a worker's
-cache; texts are then concatenations. No row ever moves between executors.
+table and contracts each word's leftmost pair of least rank, in long words all pairs that the order of ranks is sure
+to contract, and goes on with the words that changed. A second query decodes: the ids' bytes, aggregated in the order
+of their positions. Each distinct word is encoded once for a worker's cache; texts are then concatenations. No row ever moves between executors.
 
-Null and empty texts give no ids, the hash of nothing, and empty bytes. A word of n bytes takes up to n turns of n rows.
+Null and empty texts give no ids, the hash of nothing, and empty bytes. A long word of n bytes takes n rows, whatever its turns.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import shutil
+import tempfile
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import arrow_map, read, resident, ship, steps
 
-#: Words encoded by one query, and cached chunks of text before a worker's cache starts anew; both only bound memory.
-WORDS, CACHED = 25_000, 300_000
+#: A query over short words keeps the rows of all turns: at most so many words, and so many by the sum of their squared
+#: lengths. Words of more than LONG bytes are encoded with one row a byte, so many bytes (or one word) a query. A worker's
+#: cache of chunks starts anew at CACHED. All of these only bound memory.
+WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 25_000, 2_000_000, 64, 1 << 20, 300_000
 #: Bytes of text that are encoded at once.
 TEXT_BYTES = 4 << 20
 
@@ -46,6 +51,48 @@ SELECT s.wp >> 32 AS word, s.wp & 4294967295 AS place, s.tok AS tok
 FROM state s JOIN (SELECT wp >> 32 AS word, max(turn) AS turn FROM state GROUP BY 1) last ON (s.wp >> 32) = last.word AND s.turn = last.turn
 ORDER BY s.wp
 """
+#: For long words. ``state`` is keyed by place, so that it never has more rows than the words have bytes; -1 is a place whose token went
+#: into its left neighbour's, -2 (at no byte's place) marks a word with a pair of lower rank than one of its own parts.
+_ALIVE = """
+  SELECT wp, tok FROM init
+  UNION
+  (WITH alive AS (SELECT wp, tok, lead(tok) OVER by_place AS next_tok, lead(wp) OVER by_place AS next_wp, lead(wp, 2) OVER by_place AS after FROM recurring.state WHERE tok >= 0 WINDOW by_place AS (ORDER BY wp)),"""
+ENCODE_LONG = f"""
+WITH RECURSIVE state(wp, tok) USING KEY (wp) AS ({_ALIVE}
+   ranked AS (
+     SELECT a.wp, a.next_wp, a.after, a.tok, m.rank_high >> 32 AS rank, m.early, a.wp - r.low AS back, greatest(r.high - 1 - a.wp, 0) AS ahead
+     FROM alive a JOIN merges m ON ((a.tok << 32) | a.next_tok) = m.pair JOIN reach r ON r.wp = a.next_wp
+     WHERE (a.next_wp >> 32) = (a.wp >> 32)),
+   judged AS (
+     SELECT wp, next_wp, after, tok, rank, rank = min(rank) OVER (ORDER BY wp RANGE BETWEEN back PRECEDING AND ahead FOLLOWING) AS sure,
+       coalesce(lag(next_wp) OVER by_place = wp AND lag(rank) OVER by_place = rank, false) AS goes_on
+     FROM ranked WINDOW by_place AS (ORDER BY wp)),
+   runs AS (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (ORDER BY wp ROWS UNBOUNDED PRECEDING) AS run FROM judged),
+   numbered AS (
+     SELECT *, row_number() OVER in_run AS nth, bool_and(sure) OVER in_run AS all_sure
+     FROM runs WINDOW in_run AS (PARTITION BY run ORDER BY wp ROWS UNBOUNDED PRECEDING)),
+   chosen AS (SELECT wp, next_wp, after, tok, rank FROM numbered WHERE all_sure AND nth % 2 = 1),
+   marked AS (
+     SELECT wp FROM ranked WHERE early
+     UNION ALL SELECT a.wp FROM chosen a JOIN chosen b ON a.after = b.wp AND a.rank = b.rank JOIN merges m ON ((a.rank << 32) | b.tok) = m.pair WHERE m.early)
+   SELECT wp, rank FROM chosen UNION ALL SELECT next_wp, -1 FROM chosen
+   UNION ALL SELECT DISTINCT wp | 4294967295, -2 FROM marked)
+)
+SELECT wp >> 32 AS word, wp & 4294967295 AS place, tok FROM state WHERE tok <> -1 ORDER BY wp
+"""
+#: For marked words: the leftmost pair of least rank of each word, one a turn.
+ENCODE_SINGLY = f"""
+WITH RECURSIVE state(wp, tok) USING KEY (wp) AS ({_ALIVE}
+   ranked AS (
+     SELECT a.wp, a.next_wp, m.rank_high | (a.wp & 4294967295) AS least
+     FROM alive a JOIN merges m ON ((a.tok << 32) | a.next_tok) = m.pair
+     WHERE (a.next_wp >> 32) = (a.wp >> 32)),
+   best AS (SELECT wp >> 32 AS word, min(least) AS least FROM ranked GROUP BY 1),
+   chosen AS (SELECT wp, next_wp, r.least >> 32 AS rank FROM ranked r JOIN best b ON (r.wp >> 32) = b.word AND r.least = b.least)
+   SELECT wp, rank FROM chosen UNION ALL SELECT next_wp, -1 FROM chosen)
+)
+SELECT wp >> 32 AS word, wp & 4294967295 AS place, tok FROM state WHERE tok >= 0 ORDER BY wp
+"""
 DECODE = "SELECT word, string_agg(hex, '' ORDER BY place) AS hex FROM coded JOIN vocabulary USING (tok) GROUP BY word ORDER BY word"
 
 
@@ -66,11 +113,15 @@ class Coder:
         import duckdb
         import regex
 
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        spill = tempfile.mkdtemp(prefix="bpe-")
+        weakref.finalize(self, shutil.rmtree, spill, ignore_errors=True)
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": spill})
         self.split = regex.compile(pattern).findall
-        pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r << 32) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        table = np.array(pairs, np.int64).reshape(-1, 2)
-        self._table("merges", pair=table[:, 0], rank_high=table[:, 1])
+        pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r << 32, max(ranks[x] if len(x) > 1 else -1 for x in (t[:i], t[i:])) > r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        table = np.array(pairs, np.int64).reshape(-1, 3)
+        self._table("merges", pair=table[:, 0], rank_high=table[:, 1], early=table[:, 2] > 0)
+        #: Whether each beginning of a token is one itself.
+        self.beginnings = {t[:i]: False for t in ranks for i in range(1, len(t))} | dict.fromkeys(ranks, True)
         self._table("vocabulary", tok=np.array(list(ranks.values()), np.int64), hex=pa.array([t.hex() for t in ranks]))
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.words: dict[str, tuple[bytes, bytes]] = {}
@@ -87,16 +138,62 @@ class Coder:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _encode_words(self, words: list[str]) -> None:
+    def _reach(self, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """For each place: where the longest token that ends before it begins, and where the longest one that begins at it ends."""
+        n, known = len(w), self.beginnings.get
+        low, high = np.arange(n + 1), np.arange(1, n + 1)
+        for s in range(n):
+            e = s + 1
+            while e <= n and (whole := known(w[s:e])) is not None:
+                if whole:
+                    high[s] = e
+                    if low[e] > s:
+                        low[e] = s
+                e += 1
+        return low[:-1], high
+
+    def _init(self, words: list[str]) -> tuple[list[bytes], np.ndarray]:
         raw = [w.encode() for w in words]
         data, n = np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
         place = np.arange(len(data), dtype=np.int64) - np.repeat(np.cumsum(n) - n, n)
-        self._table("init", wp=np.repeat(np.arange(len(raw), dtype=np.int64) << 32, n) | place, tok=self.single[data])
+        wp = np.repeat(np.arange(len(raw), dtype=np.int64) << 32, n) | place
+        self._table("init", wp=wp, tok=self.single[data])
+        return raw, wp
+
+    def _encode_words(self, words: list[str]) -> None:
+        raw, _ = self._init(words)
         out = self.db.execute(ENCODE).fetchnumpy()
-        word, ids = np.asarray(out["word"]), np.asarray(out["tok"]).astype("<u4")
-        self._table("coded", word=word, place=np.asarray(out["place"]), tok=ids.astype(np.int64))
+        self._keep(words, np.asarray(out["word"]), np.asarray(out["place"]), np.asarray(out["tok"]))
+
+    def _encode_long(self, words: list[str]) -> None:
+        """A turn joins every pair that no pair of lower rank can come before.
+
+        A neighbour can take a part of a pair only by a token that ends where the left part does, or begins where the
+        right one does. So a pair whose rank is the least within reach of such tokens is joined in the order of ranks,
+        too, whatever happens elsewhere; of a run of overlapping pairs of one rank it's every other. This holds as long
+        as joining makes no pair of lower rank; a word where one turns up is encoded anew, a pair a turn.
+        """
+        raw, wp = self._init(words)
+        low, high = zip(*map(self._reach, raw), strict=True)
+        start = wp & ~4294967295
+        self._table("reach", wp=wp, low=start + np.concatenate(low), high=start + np.concatenate(high))
+        out = self.db.execute(ENCODE_LONG).fetchnumpy()
+        word, place, tok = (np.asarray(out[c]) for c in ("word", "place", "tok"))
+        again = np.unique(word[tok == -2])
+        if len(again):
+            self.db.execute(f"DELETE FROM init WHERE (wp >> 32) NOT IN ({','.join(map(str, again.tolist()))})")
+            more = self.db.execute(ENCODE_SINGLY).fetchnumpy()
+            keep = ~np.isin(word, again)
+            word, place, tok = (np.concatenate([x[keep], np.asarray(more[c])]) for x, c in ((word, "word"), (place, "place"), (tok, "tok")))
+            order = np.lexsort((place, word))
+            word, place, tok = word[order], place[order], tok[order]
+        self._keep(words, word, place, tok)
+
+    def _keep(self, words: list[str], word: np.ndarray, place: np.ndarray, tok: np.ndarray) -> None:
+        ids = tok.astype("<u4")
+        self._table("coded", word=word, place=place, tok=ids.astype(np.int64))
         plain = self.db.execute(DECODE).fetchall()
-        ends = 4 * np.cumsum(np.bincount(word, minlength=len(raw)))
+        ends = 4 * np.cumsum(np.bincount(word, minlength=len(words)))
         codes, start = ids.tobytes(), 0
         for w, end, (_, text) in zip(words, ends.tolist(), plain, strict=True):
             self.words[w] = codes[start:end], bytes.fromhex(text)
@@ -116,8 +213,11 @@ class Coder:
         for pieces, space, (ids, decoded) in ((starts, "", self.first), (rest, " ", self.later)):
             parts = {c: self.split(space + c) for c in pieces}
             todo = sorted({w for x in parts.values() for w in x if w not in self.words})
-            for i in range(0, len(todo), WORDS):
-                self._encode_words(todo[i : i + WORDS])
+            short, long = ([(w, n) for w in todo for n in (len(w.encode()),) if (n > LONG) == far] for far in (False, True))
+            for part in _parts(short, WORDS, SQUARES, 2):
+                self._encode_words(part)
+            for part in _parts(long, WORDS, LONG_BYTES, 1):
+                self._encode_long(part)
             for c, ws in parts.items():
                 got = [self.words[w] for w in ws]
                 ids[c], decoded[c] = got[0] if len(got) == 1 else (b"".join(g[0] for g in got), b"".join(g[1] for g in got))
@@ -131,6 +231,20 @@ class Coder:
 
 _SPACE = re.compile(r"(?<=\S) ")
 
+
+def _parts(words: list[tuple[str, int]], most: int, size: int, power: int) -> Iterator[list[str]]:
+    """The words, in parts of ``most`` at most whose lengths to a power come to ``size`` at most, unless of one word."""
+    part, total = [], 0
+    for w, n in words:
+        if part and (len(part) == most or total + n**power > size):
+            yield part
+            part, total = [], 0
+        part.append(w)
+        total += n**power
+    if part:
+        yield part
+
+
 def coder(ranks: bytes, pattern: str) -> Coder:
     return resident(("bpe", hashlib.sha256(ranks + pattern.encode()).hexdigest()), lambda: Coder(parse_ranks(ranks), pattern))
 
