@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..workers import ship
+from ..workers import shared, ship
 
 #: Rows and bytes of text that one step of an Arrow function works on at once; they bound memory, not input.
 STEP_ROWS, STEP_BYTES = 4000, 8 << 20
@@ -25,14 +25,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """Write ``df`` once in the cluster's checkpoint folder and cut its lineage; a folder of ours only where none is set."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
-    return df.checkpoint()
-
-
 def held_out(doc_id: str = "doc_id"):
     """True for the rows no model learns from: crc32 of the id's text, modulo 5, is 0 (a null id is never held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

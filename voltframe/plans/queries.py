@@ -217,6 +217,35 @@ def main_component(spark, sf_dir):
     return graph.main_component(nodes, edges, "node", "a", "b", "snap", F.col("live"))[0]
 
 
+def whole_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same network with every line's edge; all but those of the largest quantity (one in fifty) are in service."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    edges = j.select(F.col("l_returnflag").alias("snap"), (F.col("o_custkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b"), (F.col("l_quantity") < 50).alias("live"))
+    return edges.select("snap", F.col("a").alias("node")).union(edges.select("snap", "b")).distinct(), edges
+
+
+def _whole_grid(live: str) -> str:
+    return f"""edges AS (SELECT l_returnflag AS snap, o_custkey * 2 AS a, l_suppkey * 2 + 1 AS b, l_quantity < 50 AS live FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+nodes AS (SELECT snap, a AS node FROM edges UNION SELECT snap, b FROM edges),
+e AS (SELECT snap, a, b FROM edges WHERE {live} UNION SELECT snap, b, a FROM edges WHERE {live}),
+comp(snap, node, component) USING KEY (snap, node) AS (SELECT snap, node, node FROM nodes
+ UNION SELECT e.snap, e.b, min(c.component) FROM comp c JOIN e ON c.snap = e.snap AND c.node = e.a JOIN recurring.comp r ON r.snap = e.snap AND r.node = e.b WHERE c.component < r.component GROUP BY e.snap, e.b)"""
+
+
+@query(f"WITH RECURSIVE {_whole_grid('true')} SELECT snap, node, component FROM comp")
+def whole_connected_components(spark, sf_dir):
+    nodes, edges = whole_grid(spark, sf_dir)
+    return graph.components(nodes, edges, "node", "a", "b", "snap")
+
+
+@query(f"""WITH RECURSIVE {_whole_grid('live')}, size AS (SELECT snap, component, count(*) AS n FROM comp GROUP BY ALL), top AS (SELECT snap, component AS main FROM (SELECT *, row_number() OVER (PARTITION BY snap ORDER BY n DESC, component DESC) AS k FROM size) WHERE k = 1)
+SELECT snap, node, CASE WHEN component = main THEN NULL WHEN n = 1 THEN 'isolated' ELSE 'island' END AS reason FROM comp JOIN size USING (snap, component) JOIN top USING (snap)""")
+def whole_main_component(spark, sf_dir):
+    nodes, edges = whole_grid(spark, sf_dir)
+    return graph.main_component(nodes, edges, "node", "a", "b", "snap", F.col("live"))[0]
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size > 20 AND p_retailprice > 0 THEN p_retailprice ELSE 'inf'::DOUBLE END AS limit_mw,
 CASE WHEN p_size > 20 AND p_retailprice > 0 THEN CASE WHEN p_size * 40.0 > p_retailprice THEN p_size * 40.0 ELSE p_retailprice END ELSE 'inf'::DOUBLE END AS contingency_mw FROM part""")
 def limits_or_inf(spark, sf_dir):

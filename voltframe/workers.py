@@ -1,11 +1,11 @@
-"""What Python workers need."""
+"""What Python workers need, and the cluster's shared folder."""
 
 from __future__ import annotations
 
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -13,3 +13,11 @@ def ship(spark: SparkSession) -> None:
     root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """Write ``df`` once in the cluster's checkpoint folder and cut its lineage; a folder of ours only where none is set."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return df.checkpoint()
