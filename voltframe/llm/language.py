@@ -1,7 +1,7 @@
 """Language identification of words by a linear-chain conditional random field.
 
 A word's score for a language is a sum over its first and last one to three letters, its two- and three-letter
-sequences and the word itself (the lexicon); learned transitions join neighbours. Training cuts labelled documents into
+sequences (all of them, however long the word) and the word itself (the lexicon); learned transitions join neighbours. Training cuts labelled documents into
 stretches and strings stretches of different ones together, so that labels switch as in mixed text. Forward-backward
 gives each word's posterior; a document's language is that of most posterior mass.
 
@@ -29,9 +29,10 @@ MAX_PER_LABEL, MAX_WORDS, MAX_LABELS = 200, 60_000, 200
 SLOTS = 1 << 16
 ROUNDS, RATE, RIDGE = 60, 0.15, 1e-5
 SPAN, SEQUENCE, BLOCK = 12, 48, 64
-#: Letters that n-gram features of one word see at most; the lexicon feature sees the whole word.
-LETTERS = 24
-CACHED = 300_000
+#: Words of more letters have their n-grams made apart, PIECE letters at a time, and count as several in a document's mass.
+LETTERS, PIECE = 24, 1 << 16
+#: Words and letters of words in a worker's cache before it starts anew; they bound memory.
+CACHED, CACHED_LETTERS = 300_000, 8_000_000
 #: Bytes of text that are tagged at once; they bound memory, not input.
 TEXT_BYTES = 2 << 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -39,7 +40,7 @@ KINDS = 7  # lexicon, three beginnings, three ends; then n-grams
 
 
 def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Weight numbers of each word's features, and which of them exist."""
+    """Weight numbers of each word's features, and which of them exist; n-grams only of words of up to ``LETTERS`` letters."""
     n = len(words)
     lengths = np.fromiter(map(len, words), np.int64, n)
     code = np.zeros((n, LETTERS + 2), np.uint64)
@@ -57,7 +58,7 @@ def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 h ^= h >> np.uint64(29)
             out.append(h)
             real.append(lengths >= k)
-    end = np.minimum(lengths, LETTERS)
+    end = np.where(lengths > LETTERS, -2, lengths)
     for size in (2, 3):
         for i in range(LETTERS + 3 - size):
             exists = i + size <= end + 2
@@ -74,6 +75,39 @@ def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return table, np.stack(real, axis=1)
 
 
+def long_grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word and weight number of each two- and three-letter sequence of the words of more than ``LETTERS`` letters; words rise within each pair of arrays."""
+    part: list[tuple[int, str]] = []
+    total = 0
+    for j, w in enumerate(words):
+        if len(w) > LETTERS:
+            for i in range(0, len(w) + 2, PIECE):
+                # pieces overlap by two letters; a zero stands before and after the word
+                part.append((j, ("\0" if not i else "") + w[max(i - 1, 0) : i + PIECE + 1] + ("\0" if i + PIECE + 1 > len(w) else "")))
+                total += len(part[-1][1])
+                if total >= PIECE:
+                    yield from _grams(part)
+                    part, total = [], 0
+    if part:
+        yield from _grams(part)
+
+
+def _grams(part: list[tuple[int, str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    code = np.frombuffer("".join(x for _, x in part).encode("utf-32-le"), "<u4").astype(np.uint64)
+    size = np.array([len(x) for _, x in part])
+    piece = np.repeat(np.arange(len(part)), size)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+    word = np.array([j for j, _ in part])
+    mix = np.uint64(0x9E3779B97F4A7C15)
+    for n in (2, 3):
+        h = np.zeros(max(len(code) - n + 1, 0), np.uint64)
+        for j in range(n):
+            h = (h ^ code[j : j + len(h)]) * mix
+            h ^= h >> np.uint64(29)
+        use = (piece[: len(h)] == piece[n - 1 :]) & (at[: len(h)] < PIECE)
+        yield word[piece[: len(h)][use]], (h[use] >> np.uint64(20) & np.uint64(SLOTS - 1)).astype(np.int64) + KINDS * SLOTS
+
+
 def hash_word(w: str) -> int:
     h = 0xCBF29CE484222325
     for b in w.encode():
@@ -93,6 +127,9 @@ class Model:
             part = out[i : i + 20_000]
             for k in range(table.shape[1]):
                 part += self.weights[table[:, k]] * real[:, k, None]
+            for line, number in long_grams(words[i : i + 20_000]):
+                starts = np.flatnonzero(np.diff(line, prepend=-1))
+                part[line[starts]] += np.add.reduceat(self.weights[number], starts) if len(starts) else 0
         return out
 
 
@@ -193,8 +230,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 1) -> Model:
     use = min(len(ids), n_seq * SEQUENCE)
     ids, y = (x[:use].reshape(n_seq, -1).T for x in (ids, y))  # (places, sequences)
     table, real = feature_rows(types)
-    feature, kind = np.unique(table[real], return_inverse=True)
-    line = np.nonzero(real)[0]
+    grams = list(long_grams(types))
+    feature, kind = np.unique(np.concatenate([table[real], *[g[1] for g in grams]]), return_inverse=True)
+    line = np.concatenate([np.nonzero(real)[0], *[g[0] for g in grams]])
     w, tr = np.zeros((len(feature), k)), np.zeros((k, k))
     mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros_like(tr), np.zeros_like(tr)
     gold_tr = np.zeros((k, k))
@@ -237,31 +275,38 @@ class Tagger:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((1024, len(self.model.labels)), np.float32)
 
     def words(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Posteriors (words, labels) and words of each text."""
-        if len(self.known) > CACHED:
+        return self._tag(batch)[:2]
+
+    def _tag(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Also each word's share of its text's mass: 1, and 1 more for every further ``LETTERS`` letters or part of them."""
+        if len(self.known) > CACHED or self.letters > CACHED_LETTERS:
             self._reset()
         cut = [WORD.findall(x.lower()) for x in batch]
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         new = sorted({w for x in cut for w in x if w not in self.known})
         if new:
             at = len(self.known)
+            self.letters += sum(map(len, new))
             self.known.update(zip(new, range(at, at + len(new)), strict=True))
             if len(self.known) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros((len(self.known), self.table.shape[1]), np.float32)])
             self.table[at : at + len(new)] = self.model.emissions(new)
         ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(lengths.sum()))
-        return posteriors(self.table[ids], lengths, self.model.transitions), lengths
+        share = -(-np.fromiter(map(len, chain.from_iterable(cut)), np.int64, len(ids)) // LETTERS)
+        return posteriors(self.table[ids], lengths, self.model.transitions), lengths, share
 
     def documents(self, batch: list[str]) -> tuple[list[str], list[float]]:
-        p, lengths = self.words(batch)
+        p, lengths, share = self._tag(batch)
         k = len(self.model.labels)
         doc = np.repeat(np.arange(len(batch)), lengths)
-        mass = np.stack([np.bincount(doc, p[:, c], len(batch)) for c in range(k)], 1) if k else np.zeros((len(batch), 1))
+        mass = np.stack([np.bincount(doc, p[:, c] * share, len(batch)) for c in range(k)], 1) if k else np.zeros((len(batch), 1))
         best = mass.argmax(1)
-        score = mass[np.arange(len(batch)), best] / np.maximum(lengths, 1)
+        score = mass[np.arange(len(batch)), best] / np.maximum(np.bincount(doc, share, len(batch)), 1)
         empty = (lengths == 0) | (k == 0)
         return ["und" if e else self.model.labels[b] for b, e in zip(best.tolist(), empty.tolist(), strict=True)], np.clip(np.where(empty, 0.0, score), 0, 1).tolist()
 
