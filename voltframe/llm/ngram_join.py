@@ -1,10 +1,10 @@
-"""Similarity join on word 5-grams by a MinHash LSH forest, verified exactly.
+"""Similarity join on word 5-grams by MinHash labels in fixed bands, verified exactly.
 
 Words are those of ``decontaminate.words`` (A-Z as a-z; punctuation separates); a text's set holds the hashes of its
 runs of five words, or of all its words if they are fewer. Texts of equal sets are one representative with copies. Each
-representative's signature gives ``TREES`` label strings, which are prefix tries when sorted. Matching starts with
-whole strings and shortens them until prefixes of that depth find a pair at the threshold with the target recall;
-representatives that share such a prefix are linked to the least of them, and linked ones form candidate groups. A
+representative's signature gives ``TREES`` labels of as many minima as find a pair at the threshold with the target
+recall. This is fixed banding in place of an LSH forest: no prefix tries are built, and no label is shortened by matches;
+representatives that share a label are linked to the least of them, and linked ones form candidate groups. A
 task gets the sets of one group, or of two blocks of a group too large for one task, counts common shingles through
 inverted lists, and gives each text's number of links (Jaccard similarity of the threshold or more) and its component;
 pairs are never emitted. Classes are components of verified links.
@@ -33,9 +33,11 @@ BLOCK = 1_500_000
 
 
 def depth_for(threshold: float, target: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix that finds a pair at ``threshold`` in some tree with a probability of ``target``; 1 at least."""
+    """The longest prefix that finds a pair at ``threshold`` in some tree with a probability of ``target``; an error if none does."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
         depth -= 1
+    if 1 - (1 - threshold**depth) ** trees < target:
+        raise ValueError(f"{trees} trees can't find a pair at {threshold} with a probability of {target}")
     return depth
 
 
