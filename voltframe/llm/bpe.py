@@ -4,7 +4,8 @@ The merge table holds every (left id, right id) whose joined bytes are a token,
 recursive query takes token-position rows of many distinct words at once; each turn joins neighbours with the merge
 table and contracts each word's leftmost pair of least rank, in long words all pairs that the order of ranks is sure
 to contract, and goes on with the words that changed. A second query decodes: the ids' bytes, aggregated in the order
-of their positions. Each distinct word is encoded once for a worker's cache; texts are then concatenations. No row ever moves between executors.
+of their positions. Each distinct word is encoded once for a worker's cache, which is bounded in bytes; texts are then
+concatenations. No row ever moves between executors.
 
 Null and empty texts give no ids, the hash of nothing, and empty bytes. A long word of n bytes takes n rows, whatever its turns.
 """
@@ -13,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import shutil
 import tempfile
 import weakref
@@ -23,14 +23,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, read, resident, ship, steps
+from .common import arrow_map, ranges, read, resident, ship, steps, texts
 
 #: A query over short words keeps the rows of all turns: at most so many words, and so many by the sum of their squared
 #: lengths. Words of more than LONG bytes are encoded with one row a byte, so many bytes (or one word) a query. A worker's
-#: cache of chunks starts anew at CACHED. All of these only bound memory.
-WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 25_000, 2_000_000, 64, 1 << 20, 300_000
+#: cache of words starts anew at so many bytes. All of these only bound memory.
+WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 25_000, 2_500_000, 64, 1 << 20, 64 << 20
 #: Bytes of text that are encoded at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 6 << 20
+
+#: White space beyond ASCII.
+WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 ENCODE = """
 WITH RECURSIVE state(turn, wp, tok) AS (
@@ -93,7 +96,7 @@ WITH RECURSIVE state(wp, tok) USING KEY (wp) AS ({_ALIVE}
 )
 SELECT wp >> 32 AS word, wp & 4294967295 AS place, tok FROM state WHERE tok >= 0 ORDER BY wp
 """
-DECODE = "SELECT word, string_agg(hex, '' ORDER BY place) AS hex FROM coded JOIN vocabulary USING (tok) GROUP BY word ORDER BY word"
+DECODE = "SELECT string_agg(hex, '' ORDER BY wp) FROM coded JOIN vocabulary USING (tok)"
 
 
 def load_ranks(path: str) -> bytes:
@@ -115,7 +118,7 @@ class Coder:
 
         spill = tempfile.mkdtemp(prefix="bpe-")
         weakref.finalize(self, shutil.rmtree, spill, ignore_errors=True)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": spill})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": spill})
         self.split = regex.compile(pattern).findall
         pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r << 32, max(ranks[x] if len(x) > 1 else -1 for x in (t[:i], t[i:])) > r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         table = np.array(pairs, np.int64).reshape(-1, 3)
@@ -123,15 +126,10 @@ class Coder:
         #: Whether each beginning of a token is one itself.
         self.beginnings = {t[:i]: False for t in ranks for i in range(1, len(t))} | dict.fromkeys(ranks, True)
         self._table("vocabulary", tok=np.array(list(ranks.values()), np.int64), hex=pa.array([t.hex() for t in ranks]))
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        """Ids and decoded bytes of words, of pieces that begin a text, and of pieces after a space (kept without it)."""
-        self.words.clear()
-        self.first: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
-        self.later: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.words = Coded()
 
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
@@ -190,46 +188,132 @@ class Coder:
         self._keep(words, word, place, tok)
 
     def _keep(self, words: list[str], word: np.ndarray, place: np.ndarray, tok: np.ndarray) -> None:
-        ids = tok.astype("<u4")
-        self._table("coded", word=word, place=place, tok=ids.astype(np.int64))
-        plain = self.db.execute(DECODE).fetchall()
-        ends = 4 * np.cumsum(np.bincount(word, minlength=len(words)))
-        codes, start = ids.tobytes(), 0
-        for w, end, (_, text) in zip(words, ends.tolist(), plain, strict=True):
-            self.words[w] = codes[start:end], bytes.fromhex(text)
-            start = end
+        ids = tok.astype(np.int64)
+        self._table("coded", wp=word << 32 | place, tok=ids)
+        plain = bytes.fromhex(self.db.execute(DECODE).fetchall()[0][0])
+        size = np.bincount(word, self.sizes[ids], len(words)).astype(np.int64)
+        self.words.add(words, ids.astype(np.uint32), np.bincount(word, minlength=len(words)), np.frombuffer(plain, np.uint8), size)
+
+    def _matches(self, pieces: list[bytes]) -> tuple[list[str], np.ndarray]:
+        """The pattern's matches in each piece, one after the other, and how many each has.
+
+        Pieces that begin with a space and end with something else are cut at once: no match crosses their ends.
+        """
+        text = [p.decode() for p in pieces]
+        joins = np.fromiter((x[0] == " " and not x[-1].isspace() for x in text), bool, len(text))
+        count = np.zeros(len(text), np.int64)
+        row = self.split("".join(x for x, j in zip(text, joins.tolist(), strict=True) if j))
+        size = np.fromiter(map(len, text), np.int64, len(text))
+        count[joins] = np.diff(np.searchsorted(np.cumsum(np.fromiter(map(len, row), np.int64, len(row))), np.cumsum(size[joins]), side="right"), prepend=0)
+        if joins.all():
+            return row, count
+        out: list[str] = []
+        ends = np.cumsum(count).tolist()
+        for i, (x, j) in enumerate(zip(text, joins.tolist(), strict=True)):
+            part = row[ends[i - 1] if i else 0 : ends[i]] if j else self.split(x)
+            count[i] = len(part)
+            out += part
+        return out, count
 
     def encode(self, batch: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids as little-endian unsigned 32-bit integers, their decoded bytes) of each text.
+        """(ids as little-endian unsigned 32-bit integers, their decoded bytes) of each text."""
+        ids, n, plain, m = self.arrays([x.encode() for x in batch])
+        codes, plain = ids.astype("<u4").tobytes(), plain.tobytes()
+        return [(codes[4 * (e - k) : 4 * e], plain[f - j : f]) for e, k, f, j in zip(np.cumsum(n).tolist(), n.tolist(), np.cumsum(m).tolist(), m.tolist(), strict=True)]
+
+    def arrays(self, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts and how many each has, their decoded bytes and how many each has.
 
         A single space after a character that is no white space always begins a match of the pattern, so that texts
-        are cut there and each piece is coded once.
+        are cut there and each distinct piece is matched once.
         """
-        if len(self.later[0]) + len(self.first[0]) > CACHED:
-            self._clear()
-        cut = list(map(_SPACE.split, batch))
-        starts = {x[0] for x in cut} - self.first[0].keys()
-        rest = set().union(*(x[1:] for x in cut)) - self.later[0].keys()
-        for pieces, space, (ids, decoded) in ((starts, "", self.first), (rest, " ", self.later)):
-            parts = {c: self.split(space + c) for c in pieces}
-            todo = sorted({w for x in parts.values() for w in x if w not in self.words})
-            short, long = ([(w, n) for w in todo for n in (len(w.encode()),) if (n > LONG) == far] for far in (False, True))
-            for part in _parts(short, WORDS, SQUARES, 2):
-                self._encode_words(part)
-            for part in _parts(long, WORDS, LONG_BYTES, 1):
-                self._encode_long(part)
-            for c, ws in parts.items():
-                got = [self.words[w] for w in ws]
-                ids[c], decoded[c] = got[0] if len(got) == 1 else (b"".join(g[0] for g in got), b"".join(g[1] for g in got))
-        out = []
-        for x in cut:
-            head, tail = x[0], x[1:]
-            i, d = (here[head] + b"".join(map(after.__getitem__, tail)) for here, after in zip(self.first, self.later, strict=True))
-            out.append((i, d))
-        return out
-
-
-_SPACE = re.compile(r"(?<=\S) ")
+        if self.words.size > CACHED:
+            self.words = Coded()
+        data, length = np.frombuffer(b"".join(batch), np.uint8), np.fromiter(map(len, batch), np.int64, len(batch))
+        end = np.cumsum(length)
+        begins = np.zeros(len(data) + 1, bool)
+        space = np.flatnonzero(data[1:] == 32) + 1
+        begins[space[~white_before(data, space)]] = True
+        begins[end - length] = True
+        at = np.flatnonzero(begins[:-1])
+        pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        words, count = self._matches(pieces.dictionary.to_pylist())
+        known = self.words.number
+        todo = list({w for w in words if w not in known})
+        size = [len(w.encode()) for w in todo]
+        for far, encode in ((False, self._encode_words), (True, self._encode_long)):
+            some = [(w, n) for w, n in zip(todo, size, strict=True) if (n > LONG) == far]
+            for part in _parts(some, WORDS, LONG_BYTES if far else SQUARES, 1 if far else 2):
+                encode(part)
+        number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        owner, code = np.repeat(np.arange(len(count)), count), pieces.indices.to_numpy()
+        doc, out = np.searchsorted(end, at, side="right"), []
+        for values, n in (x.of(number) for x in self.words.parts):
+            of_piece = np.bincount(owner, n, len(count)).astype(np.int64)
+            here = of_piece[code]
+            out += [values[ranges((np.cumsum(of_piece) - of_piece)[code], here)], np.bincount(doc, here, len(batch)).astype(np.int64)]
+        return tuple(out)
+
+
+class Coded:
+    """Strings, with the ids and decoded bytes of each, in arrays that grow."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.parts: tuple[Ragged, Ragged] = Ragged(np.uint32), Ragged(np.uint8)
+
+    @property
+    def size(self) -> int:
+        """Bytes that it takes, about: a string and its entry take some 150."""
+        return 150 * len(self.number) + sum(x.values.nbytes + 2 * x.start.nbytes for x in self.parts)
+
+    def add(self, keys: list[str], ids: np.ndarray, n_ids: np.ndarray, text: np.ndarray, n_text: np.ndarray) -> None:
+        at = len(self.number)
+        self.number.update(zip(keys, range(at, at + len(keys)), strict=True))
+        self.parts[0].add(ids, n_ids)
+        self.parts[1].add(text, n_text)
+
+
+class Ragged:
+    """Sequences of numbers, one after the other, in arrays that double as they grow."""
+
+    def __init__(self, kind: type):
+        self.values, self.start, self.count = np.zeros(1024, kind), np.zeros(1025, np.int64), 0
+
+    def add(self, values: np.ndarray, length: np.ndarray) -> None:
+        n, used = self.count, int(self.start[self.count])
+        self.values = _room(self.values, used + len(values))
+        self.start = _room(self.start, n + len(length) + 1)
+        self.values[used : used + len(values)] = values
+        self.start[n + 1 : n + len(length) + 1] = used + np.cumsum(length)
+        self.count += len(length)
+
+    def of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        start = self.start[number]
+        length = self.start[number + 1] - start
+        return self.values[ranges(start, length)], length
+
+
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    if n <= len(x):
+        return x
+    out = np.zeros(max(n, 3 * len(x) // 2), x.dtype)
+    out[: len(x)] = x
+    return out
+
+
+def white_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a character of white space (the patterns' ``\\s``) ends in UTF-8 right before each place."""
+    last = data[at - 1]
+    out = (last == 32) | (last - np.uint8(9) < 5) | (last - np.uint8(28) < 4)
+    far = np.flatnonzero(last >= 128)
+    for c in WHITE if len(far) else "":
+        raw = c.encode()
+        hit = far[at[far] >= len(raw)]
+        for i, b in enumerate(raw):
+            hit = hit[data[at[hit] - len(raw) + i] == b]
+        out[hit] = True
+    return out
 
 
 def _parts(words: list[tuple[str, int]], most: int, size: int, power: int) -> Iterator[list[str]]:
@@ -262,10 +346,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks.value, pattern)
         for b in steps(batches, text_col, size=TEXT_BYTES):
-            got = code.encode([x or "" for x in b.column(text_col).to_pylist()])
-            cols = [b.column(id_col), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i, _ in got]), pa.array([hashlib.sha256(d).hexdigest() for _, d in got])]
+            ids, n_ids, plain, n_plain = code.arrays(texts(b, text_col))
+            codes, plain = ids.astype("<u4").tobytes(), plain.tobytes()
+            end, plain_end = 4 * np.cumsum(n_ids), np.cumsum(n_plain)
+            decoded = [plain[i:j] for i, j in zip((plain_end - n_plain).tolist(), plain_end.tolist(), strict=True)]
+            cols = [b.column(id_col), pa.array(n_ids), pa.array([hashlib.sha256(codes[i:j]).hexdigest() for i, j in zip((end - 4 * n_ids).tolist(), end.tolist(), strict=True)]), pa.array([hashlib.sha256(d).hexdigest() for d in decoded])]
             if with_ids:
-                cols += [pa.array([np.frombuffer(i, "<u4").astype(np.int64) for i, _ in got], pa.list_(pa.int64())), pa.array([d.decode("utf-8", "replace") for _, d in got])]
+                cols += [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_ids)), pa.int32()), pa.array(ids.astype(np.int64))), pa.array([d.decode("utf-8", "replace") for d in decoded])]
             yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])])
 
     return arrow_map(docs.select(id_col, text_col), run, schema, resides=True)
