@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..workers import shared, ship
+from ..workers import discard, settle, shared, ship  # noqa: F401
 
 #: Rows and bytes of text that one step of an Arrow function works on at once; they bound memory, not input.
 STEP_ROWS, STEP_BYTES = 4000, 8 << 20
@@ -40,9 +40,18 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", name: str = "__row") -> Dat
         odd = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
         if odd.isEmpty():
             return docs.withColumn(name, F.col(id_col).cast("long"))
-    text = [F.xxhash64(F.to_json(F.struct("*")))]
-    ordered = docs.withColumn("__h", text[0]).repartitionByRange(F.col(id_col).asc_nulls_first()).sortWithinPartitions(F.col(id_col).asc_nulls_first(), "__h")
-    return shared(ordered.drop("__h").withColumn(name, F.monotonically_increasing_id()))
+    h = unused(docs, "__h")
+    order = [F.col(id_col).asc_nulls_first(), F.col(h)]
+    numbered = docs.withColumn(h, F.xxhash64(F.to_json(F.struct("*")))).repartitionByRange(*order).sortWithinPartitions(*order)
+    return shared(numbered.drop(h).withColumn(name, F.monotonically_increasing_id()))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or something like it that no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def steps(batches: Iterable[pa.RecordBatch], text: str | None = None, rows: int = STEP_ROWS, size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -98,10 +107,6 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn if resides else run, schema)
 
 
-def grown(items: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(items) if items else np.zeros(0, np.int64)
-
-
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each length, one after the other."""
     total = int(lengths.sum())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared
+from .common import discard, shared
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,11 +22,13 @@ def components(edges: DataFrame) -> DataFrame:
     was = mark(e)
     while was[0]:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that joins with it are between two shuffles, and Spark can split a hub's rows
+        least = shared(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        parent = large.groupBy("u").agg(F.min("v").alias("m"))
+        parent = shared(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(parent, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = shared(small.unionAll(parent.select("u", F.col("m").alias("v"))).distinct())
+        before, e = e, shared(small.unionAll(parent.select("u", F.col("m").alias("v"))).distinct())
+        discard(before, least, parent)
         now = mark(e)
         if now == was:
             break

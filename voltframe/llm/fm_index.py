@@ -97,6 +97,23 @@ class FMIndex:
             hi[on] = self.less[c] + self.wavelet.rank(c, hi[on])
         return lo, hi
 
+    def statistics(self, text: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a streamed ``text``: for each end, how many numbers before it match the index, up to
+        ``most``, and the suffix interval of that match. A number is put before the match until the interval is empty."""
+        lo, hi, length = np.zeros(len(ends), np.int64), np.full(len(ends), self.size, np.int64), np.zeros(len(ends), np.int64)
+        on = np.arange(len(ends))
+        for back in range(1, most + 1):
+            on = on[ends[on] >= back]
+            c = text[ends[on] - back]
+            on, c = on[c > 0], c[c > 0]
+            low, high = (self.less[c] + self.wavelet.rank(c, x[on]) for x in (lo, hi))
+            here = low < high
+            on = on[here]
+            lo[on], hi[on], length[on] = low[here], high[here], back
+            if not len(on):
+                break
+        return length, lo, hi
+
     def locate(self, rows: np.ndarray) -> np.ndarray:
         """Text positions of suffix rows, by walking back to sampled ones."""
         rows, steps = rows.copy(), np.zeros(len(rows), np.int64)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, ranges, read, row_key, shared, ship, steps, texts
 from .components import components
 from .decontaminate import FOLD
-from .repeats import BYTES, Hashes, mix, word_spans
+from .repeats import Hashes, mix, word_hashes, word_spans
 
 SHINGLE, THRESHOLD, TARGET = 5, 0.8, 0.9999
 TREES, DEPTH = 20, 6
@@ -47,7 +47,7 @@ def shingle_sets(raw: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.nda
     n = np.fromiter(map(len, raw), np.int64, len(raw))
     s, e = word_spans(data, n)
     count = np.searchsorted(s, np.cumsum(n)) - np.searchsorted(s, np.cumsum(n) - n)
-    hashes = Hashes(Hashes(BYTES[data]).of(s, e))
+    hashes = Hashes(word_hashes(data, s, e))
     begin = np.cumsum(count) - count
     many = np.where(count > 0, np.maximum(count - k + 1, 1), 0)
     at = ranges(begin, many)

@@ -5,33 +5,41 @@ among its first ``reach`` places. Equal windows have equal anchors at equal offs
 anchor form a run, and runs are compared only with runs that have the same core (the units from the anchor on that all
 its windows hold):
 
-1. every run gives one row: hashes of its core and of its whole context (all units of its windows), and its place;
-2. rows whose core occurs once go; the rest is written to the shared folder;
-3. runs of equal context are copies of each other, settled without text, however many there are;
-4. where one core has several contexts, one text of each goes to the task that indexes that core's contexts (the
-   operators' own suffix structures, which compare units, not hashes); cores with more than ``HOT`` contexts are first
-   cut into single windows, so that a task's share stays bounded;
+1. every run gives the hash of its core; cores that occur once can't repeat, and their runs go;
+2. the other runs' places are written to the shared folder, then their contexts (all units of their windows), with a
+   128-bit digest of each;
+3. equal contexts of a core become one, with its first place and its number of copies, partly before the shuffle;
+4. one task indexes all contexts of a core by the operators' own suffix structures, which compare units and take a
+   context's copies as so many occurrences. Cores with more than ``HOT`` different contexts are first dealt out anew by
+   single windows, which go through the same structures, so that a task's share stays bounded;
 5. what was found goes back to the rows' documents.
 
-No group is ever expanded into pairs, and the corpus's text is shuffled once.
+No group is ever expanded into pairs. Hashes only deal out what may be equal; structures and digests of bytes decide.
+A hot core or context is one row before step 4's shuffle; joins by core or context are between written tables, so that
+Spark can split a hot key's rows (adaptive skew joins).
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, ranges, row_key, shared, ship, steps, texts
+from .common import arrow_map, discard, ranges, row_key, settle, shared, ship, steps, texts
 
-#: Contexts of one core above which it is cut into single windows; units that one index holds, about.
-HOT, CHUNK = 20_000, 3_000_000
+#: Different contexts of one core above which it is dealt out by single windows; units that one index holds, about.
+HOT, CHUNK = 20_000, 1_500_000
 #: Bytes of text hashed at once; the arrays for it take some sixty times as much.
-STEP = 2 << 20
+STEP = 1 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE_BITS = 28
@@ -96,7 +104,7 @@ class Units:
             return BYTES[data], n
         s, e = word_spans(data, n)
         count = np.searchsorted(s, np.cumsum(n)) - np.searchsorted(s, np.cumsum(n) - n)
-        return Hashes(BYTES[data]).of(s, e), count
+        return word_hashes(data, s, e), count
 
     def context(self, text: bytes | list[bytes], lo: int, n: int) -> bytes:
         part = text[lo : lo + n - 1 + self.window]
@@ -115,9 +123,19 @@ def word_spans(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(ink & (~before | first[:-1])), np.flatnonzero(ink & (~after | first[1:])) + 1
 
 
+def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word. Sums of powers are no good for long words of a pattern, which get a digest each."""
+    out = Hashes(BYTES[data]).of(s, e)
+    for i in np.flatnonzero(e - s > LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[s[i] : e[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def runs(units: np.ndarray, lengths: np.ndarray, kind: Units) -> tuple[np.ndarray, ...]:
-    """Text number, first window, number of windows, and hashes of core and context, of each run."""
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    """Text number, first window, number of windows, and hash of the core, of each run."""
+    none = (*(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64))
+    if len(units) >= 1 << PLACE_BITS:
+        raise ValueError("too many units for one step")
     if len(units) < kind.window:
         return none
     hashes = Hashes(units)
@@ -141,98 +159,138 @@ def runs(units: np.ndarray, lengths: np.ndarray, kind: Units) -> tuple[np.ndarra
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(place)))
     s, a = place[at], anchor[at]
-    return text[at], s - start[text[at]], n, hashes.of(a, a + kind.core), hashes.of(s, s + n - 1 + kind.window)
+    return text[at], s - start[text[at]], n, hashes.of(a, a + kind.core)
+
+
+RUN = "key long, __row long, lo long, n int"
+CONTEXT = "key long, ctx binary, __row long, lo long, n int, text binary"
+
+
+def word_pieces(text: bytes, kind: Units, step: int) -> Iterator[tuple[bytes, int]]:
+    """Pieces of about ``step`` bytes that begin and end between words, and their first words' numbers; each holds the last window - 1 words of the one before."""
+    at = first = 0
+    while True:
+        size = step
+        while True:
+            gap = SPACES.search(text, at + size)
+            piece = text[at : gap.start()] if gap else text[at:]
+            s, _ = word_spans(np.frombuffer(piece, np.uint8), np.array([len(piece)]))
+            if not gap or len(s) >= 2 * kind.window:
+                break
+            size *= 2
+        yield piece, first
+        if not gap:
+            return
+        back = len(s) - (kind.window - 1)
+        at, first = at + int(s[back]), first + back
+
+
+SPACES = re.compile(rb"[ \t\n\v\f\r]")
+
+
+def pieces(raw: list[bytes], kind: Units, step: int = STEP) -> Iterator[tuple[int, bytes, int]]:
+    """Text number, piece and number of its first unit: texts of more than two steps come in overlapping pieces."""
+    for i, t in enumerate(raw):
+        if len(t) <= 2 * step:
+            yield i, t, 0
+        elif kind.words:
+            for piece, first in word_pieces(t, kind, step):
+                yield i, piece, first
+        else:
+            for at in range(0, max(1, len(t) - kind.window + 1), step):
+                yield i, t[at : at + step + kind.window - 1], at
 
 
-def windows(units: np.ndarray, begin: np.ndarray, kind: Units) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the window at each place."""
-    one, two = Hashes(units), Hashes(mix(units))
-    return one.of(begin, begin + kind.window), two.of(begin, begin + kind.window)
+def _held(batches: Iterator[pa.RecordBatch], text_col: str, kind: Units) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[bytes], np.ndarray]]:
+    """Batch, and text numbers, pieces and first units, a step at a time."""
+    for b in steps(batches, text_col, size=STEP):
+        held: list[tuple[int, bytes, int]] = []
+        size = 0
+        for x in pieces(texts(b, text_col), kind):
+            if held and size + len(x[1]) > 3 * STEP:
+                yield b, *_columns(held)
+                held, size = [], 0
+            held.append(x)
+            size += len(x[1])
+        if held:
+            yield b, *_columns(held)
 
 
-RUN = pa.schema([("key", pa.int64()), ("ctx", pa.int64()), ("__row", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())])
+def _columns(held: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    return np.array([x[0] for x in held], np.int64), [x[1] for x in held], np.array([x[2] for x in held], np.int64)
 
 
-def _rows(key: np.ndarray, ctx: np.ndarray, row: np.ndarray, lo: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(row.astype(np.int64)), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32))], schema=RUN)
+def _cores(docs: DataFrame, text_col: str, kind: Units) -> DataFrame:
+    """key and count of the cores of each step's runs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, raw, _ in _held(batches, text_col, kind):
+            key, count = np.unique(runs(*kind.cut(raw), kind)[3], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], names=["key", "count"])
 
-def _pieces(batches: Iterator[pa.RecordBatch], text_col: str, kind: Units) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
-    """Row keys, texts and offsets; byte texts of more than a step come in overlapping pieces."""
-    for b in steps(batches, text_col, size=STEP):
-        raw, row = texts(b, text_col), b.column("__row").to_numpy()
-        if kind.words or max(map(len, raw)) <= 2 * STEP:
-            yield row, raw, np.zeros(len(raw), np.int64)
-        else:
-            for r, t in zip(row, raw, strict=True):
-                for i in range(0, max(1, len(t) - kind.window + 1), STEP):
-                    yield np.array([r]), [t[i : i + STEP + kind.window - 1]], np.array([i])
+    return arrow_map(docs.select(text_col), run, "key long, count long")
 
 
-def _all_runs(docs: DataFrame, text_col: str, kind: Units) -> DataFrame:
+def _runs(docs: DataFrame, text_col: str, kind: Units) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, raw, offset in _pieces(batches, text_col, kind):
-            text, lo, n, key, ctx = runs(*kind.cut(raw), kind)
-            yield _rows(key, ctx, row[text], lo + offset[text], n)
-
-    return arrow_map(docs.select("__row", text_col), run, "key long, ctx long, __row long, lo int, n int")
+        for b, of, raw, first in _held(batches, text_col, kind):
+            text, lo, n, key = runs(*kind.cut(raw), kind)
+            row = b.column("__row").to_numpy()[of]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(row[text]), pa.array(lo + first[text]), pa.array(n.astype(np.int32))], names=["key", "__row", "lo", "n"])
 
+    return arrow_map(docs.select("__row", text_col), run, RUN)
 
-def _wanted(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Documents that have runs in ``rows``, with a list of those."""
-    lists = rows.groupBy("__row").agg(F.collect_list(F.struct("key", "ctx", "lo", "n")).alias("__want"))
-    return docs.join(lists, "__row")
 
-
-def _single_windows(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units) -> DataFrame:
-    """Each run of ``rows`` cut into its windows."""
+def _contexts(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units, *, single: bool = False) -> DataFrame:
+    """The context of each of ``rows`` (or, with ``single``, of each of its windows, whose hash is then its key), and its digest."""
+    lists = rows.groupBy("__row").agg(F.collect_list(F.struct("key", "lo", "n")).alias("__want"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, text_col, rows=200, size=STEP):
-            raw, want = texts(b, text_col), b.column("__want").to_pylist()
-            units, lengths = kind.cut(raw)
-            start = np.cumsum(lengths) - lengths
-            n = np.array([x["n"] for w in want for x in w], np.int64)
-            text = np.repeat(np.arange(len(raw)), [len(w) for w in want])
-            lo = np.array([x["lo"] for w in want for x in w], np.int64)
-            place, of = ranges(lo, n), np.repeat(text, n)
-            key, ctx = windows(units, start[of] + place, kind)
-            yield _rows(key, ctx, b.column("__row").to_numpy()[of], place, np.ones(len(place), np.int32))
-
-    return arrow_map(_wanted(docs, rows), run, "key long, ctx long, __row long, lo int, n int")
-
-
-def _contexts(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, text_col, rows=1000, size=STEP):
-            out: list[tuple] = []
-            for row, t, want in zip(b.column("__row").to_pylist(), texts(b, text_col), b.column("__want").to_pylist(), strict=True):
+            wanted = b.column("__want")
+            ends = wanted.offsets.to_numpy()
+            x = wanted.flatten()
+            key, lo, n = (x.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+            row = np.repeat(b.column("__row").to_numpy(), np.diff(ends))
+            raw = texts(b, text_col)
+            text = np.repeat(np.arange(len(raw)), np.diff(ends))
+            if single:
+                text, row, lo = np.repeat(text, n), np.repeat(row, n), ranges(lo, n)
+                key, n = np.zeros(len(lo), np.int64), np.ones(len(lo), np.int64)
+            at = np.searchsorted(text, np.arange(len(raw) + 1))
+            for i, t in enumerate(raw):
                 source = t.split() if kind.words else t
-                out += [(x["key"], x["ctx"], row, x["lo"], x["n"], kind.context(source, x["lo"], x["n"])) for x in want]
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["key", "ctx", "__row", "lo", "n", "text"])
+                # a text's contexts overlap; so many at a time
+                for j in range(int(at[i]), int(at[i + 1]), 4000):
+                    part = slice(j, min(j + 4000, int(at[i + 1])))
+                    got = [kind.context(source, s, m) for s, m in zip(lo[part].tolist(), n[part].tolist(), strict=True)]
+                    digest = [hashlib.blake2b(c, digest_size=16).digest() for c in got]
+                    keys = np.frombuffer(b"".join(digest), np.int64)[::2] if single else key[part]
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(digest, pa.binary()), pa.array(row[part]), pa.array(lo[part]), pa.array(n[part].astype(np.int32)), pa.array(got, pa.binary())], names=["key", "ctx", "__row", "lo", "n", "text"])
 
-    return arrow_map(_wanted(docs, rows), run, "key long, ctx long, __row long, lo int, n int, text binary")
+    return arrow_map(docs.join(lists, "__row"), run, CONTEXT)
 
 
-Index = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
+Index = Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]]
 
 
 def _indexed(contexts: DataFrame, index: Index) -> DataFrame:
-    """key, ctx, found: the windows (from 0) of each context that ``index`` marks among all contexts of a core."""
+    """key, ctx, first, found: the windows (from 0) of each context's first occurrence that ``index`` marks among all contexts of a core."""
     out_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+    place = pa.struct([("__row", pa.int64()), ("lo", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def give(part: list[tuple]) -> pa.RecordBatch:
             part.sort(key=lambda x: (x[2], x[3]))  # in the order of first occurrence
-            marks = index([x[5] for x in part], np.array([x[4] for x in part], np.int64))
+            marks = index([x[6] for x in part], np.array([x[4] for x in part], np.int64), np.array([x[5] for x in part], np.int64))
             found = []
             for m in marks:
                 edge = np.diff(np.concatenate([[0], m.astype(np.int8), [0]]))
                 found.append([{"s": s, "e": e} for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)])
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64()), pa.array(found, out_type)], names=["key", "ctx", "found"])
+            first = pa.StructArray.from_arrays([pa.array([x[2] for x in part], pa.int64()), pa.array([x[3] for x in part], pa.int64())], fields=list(place))
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.binary()), first, pa.array(found, out_type)], names=["key", "ctx", "first", "found"])
 
         size = 0
         for b in batches:
@@ -241,39 +299,52 @@ def _indexed(contexts: DataFrame, index: Index) -> DataFrame:
                     yield give(held)
                     held, size = [], 0
                 held.append(x)
-                size += len(x[5])
+                size += len(x[6])
         if held:
             yield give(held)
 
-    return arrow_map(contexts.repartition("key").sortWithinPartitions("key"), run, "key long, ctx long, found array<struct<s: int, e: int>>")
+    ordered = contexts.select("key", "ctx", "__row", "lo", "n", "copies", "text").repartition("key").sortWithinPartitions("key")
+    return arrow_map(ordered, run, "key long, ctx binary, first struct<__row: long, lo: long>, found array<struct<s: int, e: int>>")
 
 
 def repeated(docs: DataFrame, kind: Units, index: Index, *, earlier: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """__row, the id, the text, and __found: spans (s, e) of first units of windows that also start elsewhere, or
     earlier (in a smaller row, or before in the same). Null where there are none. One row for each of ``docs``."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     keyed = row_key(docs.select(id_col, text_col), id_col)
-    every = _all_runs(keyed, text_col, kind)
-    again = every.groupBy("key").count().where("count > 1").select("key")
-    rows = shared(every.join(again, "key", "left_semi"))
-
-    def groups(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("key", "ctx").agg(F.min(F.struct("__row", "lo", "n")).alias("first"), F.count("*").alias("copies"))
-
-    hot = groups(rows).groupBy("key").count().where(F.col("count") > HOT).select("key")
-    if not hot.isEmpty():
-        hot = shared(hot)
-        rows = shared(rows.join(hot, "key", "left_anti").unionByName(_single_windows(keyed, rows.join(hot, "key", "left_semi"), text_col, kind)))
-    by_context = groups(rows)
-    mixed = by_context.groupBy("key").count().where("count > 1").select("key")
-    unlike = by_context.join(mixed, "key", "left_semi").select("key", "ctx", "first.*")
-    marked = _indexed(_contexts(keyed, unlike, text_col, kind), index)
-    known = by_context.join(marked, ["key", "ctx"], "left").select("key", "ctx", "first", "copies", "found")
-    full = F.array(F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")))
-    whole = (F.col("first") != F.struct("__row", "lo", "n")) if earlier else F.col("copies") > 1
-    part = F.transform("found", lambda x: F.struct((x["s"] + F.col("lo")).alias("s"), (x["e"] + F.col("lo")).alias("e")))
-    spans = rows.join(known, ["key", "ctx"]).select("__row", F.when(whole, full).otherwise(part).alias("spans")).where("size(spans) > 0")
-    return keyed.join(spans.groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__found")), "__row", "left")
+    again = shared(_cores(keyed, text_col, kind).groupBy("key").agg(F.sum("count").alias("count")).where("count > 1").select("key"))
+    settle(spark)
+    rows = shared(_runs(keyed, text_col, kind).join(again, "key", "left_semi"))
+    settle(spark)
+    discard(again)
+    contexts = shared(_contexts(keyed, rows, text_col, kind))
+    settle(spark)
+    discard(rows)
+
+    def different(contexts: DataFrame) -> DataFrame:
+        """One row for each context of a core: its first place and its copies."""
+        first = F.min(F.struct("__row", "lo", "n", "text")).alias("first")
+        return contexts.groupBy("key", "ctx").agg(first, F.count("*").alias("copies")).select("key", "ctx", "first.*", "copies")
+
+    crowded = shared(contexts.select("key", "ctx").distinct().groupBy("key").count().where(F.col("count") > HOT).select("key"))
+    members, unlike = [contexts], different(contexts)
+    if not crowded.isEmpty():
+        far = contexts.select("key", "__row", "lo", "n").join(crowded, "key", "left_semi")
+        members = [shared(contexts.join(crowded, "key", "left_anti")), shared(_contexts(keyed, far, text_col, kind, single=True))]
+        unlike = different(members[0]).unionByName(different(members[1]).where("copies > 1"))
+    marked = shared(_indexed(unlike, index))
+    settle(spark)
+    full = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
+    # a later copy of a context has all its windows before it
+    found = F.when(F.col("first") == F.struct("__row", "lo"), F.col("found")).otherwise(full) if earlier else F.col("found")
+    every = reduce(DataFrame.unionByName, [x.select("key", "ctx", "__row", "lo", "n") for x in members])
+    known = every.join(marked, ["key", "ctx"]).withColumn("found", found).where(F.size("found") > 0)
+    spans = known.select("__row", F.transform("found", lambda x: F.struct((x["s"] + F.col("lo")).alias("s"), (x["e"] + F.col("lo")).alias("e"))).alias("spans"))
+    by_row = shared(spans.groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__found")))
+    settle(spark)
+    discard(contexts, crowded, marked, *members)
+    return keyed.join(by_row, "__row", "left")
 
 
 def covered(found: list[dict] | None, window: int) -> list[tuple[int, int]]:

@@ -1,10 +1,11 @@
 """Word-wise removal of repeats of earlier text, by an FM-index of each shard.
 
-A shard is what one task of ``repeats`` holds: one text of each context whose core occurs in several. It is indexed in
-the order of first occurrence (wavelet tree over words, sampled suffix positions). The shard's documents are then
-streamed against it: backward search over every window gives the interval of suffixes that match it over the threshold
-of ``WINDOW`` words, and the least located position of an interval is the earliest start. A window that isn't there
-first is reported. Words that one context alone has can't be in a match and only separate.
+A shard is what one task of ``repeats`` holds: every different context of some cores, in the order of first occurrence,
+as a compressed FM-index (wavelet tree over words, sampled suffix positions). The shard's texts are then streamed
+against it: backward search gives matching statistics, how many words before each end match elsewhere or here, and the
+suffix interval of the match. Intervals of matches that reach the threshold of ``WINDOW`` words are reported, and their
+least located position is the earliest start: a window that isn't first is removed. Words that one context alone has
+can't be in a match with another and only separate. Later copies of a whole context repeat all its windows.
 
 Words are runs of bytes other than ASCII white space, unchanged. Null is an empty text. Texts under ``WINDOW`` words
 lose nothing. Rows that share a doc_id are documents of their own, in the order of ``common.row_key``.
@@ -30,7 +31,7 @@ SEARCH = 200_000
 
 
 def later_starts(contexts: list[bytes], n: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """For each context of n windows, in order, which of them occur in an earlier context."""
+    """For each context of n windows, in order, which of them occur in an earlier context (none holds a window twice)."""
     cut = [c.split() for c in contexts]
     seen: dict[bytes, int] = {}  # word: number, and whether a second context has it
     twice: set[bytes] = set()
@@ -54,7 +55,8 @@ def later_starts(contexts: list[bytes], n: np.ndarray, window: int = WINDOW) ->
         for i in range(0, len(todo), SEARCH):
             part = todo[i : i + SEARCH]
             at = start[part]
-            lo, hi = index.search(text[at[:, None] + np.arange(window)], np.full(len(at), window))
+            length, lo, hi = index.statistics(text, at + window, window)
+            part, at, lo, hi = (x[length >= window] for x in (part, at, lo, hi))
             first, back = np.unique(lo, return_index=True)
             width = (hi - lo)[back]
             place = index.locate(ranges(first, width))
@@ -67,7 +69,7 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text
     """id, n_words, n_removed, kept_sha256, removed (spans of word numbers), and ``with_text`` kept."""
     reach = max(1, min(REACH, window * 3 // 5))
 
-    def index(contexts: list[bytes], n: np.ndarray) -> list[np.ndarray]:
+    def index(contexts: list[bytes], n: np.ndarray, copies: np.ndarray) -> list[np.ndarray]:
         return later_starts(contexts, n, window)
 
     found = repeated(docs, Units(words=True, window=window, gram=min(GRAM, window - reach + 1), reach=reach), index, earlier=True, id_col=id_col, text_col=text_col)

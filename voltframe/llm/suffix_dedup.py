@@ -3,7 +3,7 @@
 Of all texts' suffixes, only those that can share ``LENGTH`` bytes with another meet (see ``repeats``). A task puts the
 suffixes of its contexts into buckets by their first eight bytes, then refines buckets by sorting on the bucket
 pointers of later offsets; pointers are updated at once, so that each refinement reuses the depth of those before.
-Suffixes that still share a bucket at a depth of ``LENGTH`` bytes start repeated strings.
+Suffixes that still share a bucket at a depth of ``LENGTH`` bytes, or whose context has copies, start repeated strings.
 
 Null is an empty text. Texts shorter than ``LENGTH`` lose nothing. Rows that share a doc_id are documents of their own.
 """
@@ -24,8 +24,8 @@ from .suffix import first_buckets, refine, shared
 LENGTH, GRAM = 200, 8
 
 
-def repeated_starts(contexts: list[bytes], n: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each context of n windows, which of them occur in another context as well (contexts hold no window twice)."""
+def repeated_starts(contexts: list[bytes], n: np.ndarray, copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For each context of n windows, which of them occur twice or more, a context counting as often as it has copies (none holds a window twice)."""
     text = np.frombuffer(b"".join(contexts) + bytes(GRAM), np.uint8).astype(np.uint64)
     size = len(text) - GRAM
     keys = np.zeros(size, np.uint64)
@@ -39,7 +39,7 @@ def repeated_starts(contexts: list[bytes], n: np.ndarray, length: int = LENGTH)
         depth += offset
     starts = np.cumsum([0, *map(len, contexts[:-1])])
     at = ranges(starts, n)
-    many = np.bincount(pointer[at], minlength=size)[pointer[at]] > 1
+    many = np.bincount(pointer[at], np.repeat(copies, n), size)[pointer[at]] > 1
     return np.split(many, np.cumsum(n)[:-1])
 
 
@@ -47,8 +47,8 @@ def dedup(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_id", text
     """id, n_bytes, n_removed, n_spans, kept_sha256, removed (byte spans), and ``with_text`` kept (text, broken characters replaced)."""
     reach = length // 2
 
-    def index(contexts: list[bytes], n: np.ndarray) -> list[np.ndarray]:
-        return repeated_starts(contexts, n, length)
+    def index(contexts: list[bytes], n: np.ndarray, copies: np.ndarray) -> list[np.ndarray]:
+        return repeated_starts(contexts, n, copies, length)
 
     found = repeated(docs, Units(words=False, window=length, gram=min(16, length - reach + 1), reach=reach), index, earlier=False, id_col=id_col, text_col=text_col)
     kind = docs.schema[id_col].dataType.simpleString()
