@@ -5,17 +5,17 @@ among its first ``reach`` places. Equal windows have equal anchors at equal offs
 anchor form a run, and runs are compared only with runs that have the same core (the units from the anchor on that all
 its windows hold):
 
-1. every run gives the hash of its core; cores that occur once can't repeat, and their runs go;
-2. the other runs' places are written to the shared folder, then their contexts (all units of their windows), with a
-   128-bit digest of each;
+1. every run gives the hash of its core; cores that occur once can't repeat;
+2. the other runs' places are written to the shared folder, with a digest of their context (all units of their windows);
 3. equal contexts of a core become one, with its first place and its number of copies, partly before the shuffle;
-4. one task indexes all contexts of a core by the operators' own suffix structures, which compare units and take a
-   context's copies as so many occurrences. Cores with more than ``HOT`` different contexts are first dealt out anew by
-   single windows, which go through the same structures, so that a task's share stays bounded;
+4. one task gets one text of each different context of a core and indexes them by the operators' own suffix structures,
+   which compare units and take a context's copies as so many occurrences. Cores with more than ``HOT`` different
+   contexts are first dealt out anew by single windows, which go through the same structures, so that a task's share
+   stays bounded;
 5. what was found goes back to the rows' documents.
 
-No group is ever expanded into pairs. Hashes only deal out what may be equal; structures and digests of bytes decide.
-A hot core or context is one row before step 4's shuffle; joins by core or context are between written tables, so that
+No group is ever expanded into pairs. Hashes only deal out what may be equal; structures and digests of bytes decide
+(64 bits of BLAKE2b among contexts of equal 64-bit hashes of their cores). A hot core or context is one row before step 4's shuffle; joins by core or context are between written tables, so that
 Spark can split a hot key's rows (adaptive skew joins).
 """
 
@@ -96,19 +96,18 @@ class Units:
     def core(self) -> int:
         return self.window - self.reach + 1
 
-    def cut(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Units of all texts, one after the other, and each text's count."""
+    def cut(self, raw: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts (words joined by one space), units of all of them one after the other, each text's count, and where units begin and end."""
+        if not self.words:
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            at = np.arange(len(data) + 1)
+            return raw, BYTES[data], np.fromiter(map(len, raw), np.int64, len(raw)), at[:-1], at[1:]
+        raw = [b" ".join(t.split()) for t in raw]
         data = np.frombuffer(b"".join(raw), np.uint8)
         n = np.fromiter(map(len, raw), np.int64, len(raw))
-        if not self.words:
-            return BYTES[data], n
         s, e = word_spans(data, n)
         count = np.searchsorted(s, np.cumsum(n)) - np.searchsorted(s, np.cumsum(n) - n)
-        return word_hashes(data, s, e), count
-
-    def context(self, text: bytes | list[bytes], lo: int, n: int) -> bytes:
-        part = text[lo : lo + n - 1 + self.window]
-        return b" ".join(part) if self.words else part
+        return raw, word_hashes(data, s, e), count, s, e
 
 
 def word_spans(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +161,8 @@ def runs(units: np.ndarray, lengths: np.ndarray, kind: Units) -> tuple[np.ndarra
     return text[at], s - start[text[at]], n, hashes.of(a, a + kind.core)
 
 
-RUN = "key long, __row long, lo long, n int"
-CONTEXT = "key long, ctx binary, __row long, lo long, n int, text binary"
+RUN = "key long, ctx long, __row long, lo long, n int"
+TEXT = "key long, ctx long, __row long, lo long, n int, copies long, text binary"
 
 
 def word_pieces(text: bytes, kind: Units, step: int) -> Iterator[tuple[bytes, int]]:
@@ -225,50 +224,79 @@ def _cores(docs: DataFrame, text_col: str, kind: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, raw, _ in _held(batches, text_col, kind):
-            key, count = np.unique(runs(*kind.cut(raw), kind)[3], return_counts=True)
+            _, units, lengths, _, _ = kind.cut(raw)
+            key, count = np.unique(runs(units, lengths, kind)[3], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], names=["key", "count"])
 
     return arrow_map(docs.select(text_col), run, "key long, count long")
 
 
+def _digests(data: bytes, begin: np.ndarray, end: np.ndarray, size: int = 8) -> np.ndarray:
+    view, blake = memoryview(data), hashlib.blake2b
+    return np.frombuffer(b"".join([blake(view[i:j], digest_size=size).digest() for i, j in zip(begin.tolist(), end.tolist(), strict=True)]), np.int64)
+
+
+def _batch(key: np.ndarray, ctx: np.ndarray, row: np.ndarray, lo: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ctx), pa.array(row), pa.array(lo), pa.array(n.astype(np.int32))], names=["key", "ctx", "__row", "lo", "n"])
+
+
 def _runs(docs: DataFrame, text_col: str, kind: Units) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, of, raw, first in _held(batches, text_col, kind):
-            text, lo, n, key = runs(*kind.cut(raw), kind)
-            row = b.column("__row").to_numpy()[of]
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(row[text]), pa.array(lo + first[text]), pa.array(n.astype(np.int32))], names=["key", "__row", "lo", "n"])
+            raw, units, lengths, begin, end = kind.cut(raw)
+            text, lo, n, key = runs(units, lengths, kind)
+            at = (np.cumsum(lengths) - lengths)[text] + lo
+            ctx = _digests(b"".join(raw), begin[at], end[at + n + kind.window - 2])
+            yield _batch(key, ctx, b.column("__row").to_numpy()[of][text], lo + first[text], n)
 
     return arrow_map(docs.select("__row", text_col), run, RUN)
 
 
-def _contexts(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units, *, single: bool = False) -> DataFrame:
-    """The context of each of ``rows`` (or, with ``single``, of each of its windows, whose hash is then its key), and its digest."""
-    lists = rows.groupBy("__row").agg(F.collect_list(F.struct("key", "lo", "n")).alias("__want"))
+def _wanted(docs: DataFrame, rows: DataFrame, *more: str) -> DataFrame:
+    """Documents that have runs in ``rows``, with a list of those."""
+    lists = rows.groupBy("__row").agg(F.collect_list(F.struct("lo", "n", *more)).alias("__want"))
+    return docs.join(lists, "__row")
+
+
+def _unpacked(b: pa.RecordBatch, text_col: str, kind: Units) -> tuple:
+    """Of a batch of ``_wanted``: texts' bytes, where units begin and end, and each run's text, first unit and other fields."""
+    wanted = b.column("__want")
+    per = np.diff(wanted.offsets.to_numpy())
+    x = wanted.flatten()
+    fields = [x.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(x.type.num_fields)]
+    raw, _, lengths, begin, end = kind.cut(texts(b, text_col))
+    text = np.repeat(np.arange(b.num_rows), per)
+    return b"".join(raw), begin, end, text, (np.cumsum(lengths) - lengths)[text] + fields[0], *fields
+
+
+def _windows(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units) -> DataFrame:
+    """Each run of ``rows`` cut into its windows; a window's digest is its key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in steps(batches, text_col, rows=200, size=STEP):
+            data, begin, end, text, at, lo, n = _unpacked(b, text_col, kind)
+            at, lo, text = ranges(at, n), ranges(lo, n), np.repeat(text, n)
+            for i in range(0, len(at), 200_000):
+                here = at[i : i + 200_000]
+                both = _digests(data, begin[here], end[here + kind.window - 1], 16)
+                yield _batch(both[::2], both[1::2], b.column("__row").to_numpy()[text[i : i + 200_000]], lo[i : i + 200_000], np.ones(len(here), np.int32))
+
+    return arrow_map(_wanted(docs, rows), run, RUN)
+
+
+def _texts(docs: DataFrame, rows: DataFrame, text_col: str, kind: Units) -> DataFrame:
+    """``rows`` (key, ctx, __row, lo, n, copies) with the text of each one's context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, text_col, rows=200, size=STEP):
-            wanted = b.column("__want")
-            ends = wanted.offsets.to_numpy()
-            x = wanted.flatten()
-            key, lo, n = (x.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-            row = np.repeat(b.column("__row").to_numpy(), np.diff(ends))
-            raw = texts(b, text_col)
-            text = np.repeat(np.arange(len(raw)), np.diff(ends))
-            if single:
-                text, row, lo = np.repeat(text, n), np.repeat(row, n), ranges(lo, n)
-                key, n = np.zeros(len(lo), np.int64), np.ones(len(lo), np.int64)
-            at = np.searchsorted(text, np.arange(len(raw) + 1))
-            for i, t in enumerate(raw):
-                source = t.split() if kind.words else t
-                # a text's contexts overlap; so many at a time
-                for j in range(int(at[i]), int(at[i + 1]), 4000):
-                    part = slice(j, min(j + 4000, int(at[i + 1])))
-                    got = [kind.context(source, s, m) for s, m in zip(lo[part].tolist(), n[part].tolist(), strict=True)]
-                    digest = [hashlib.blake2b(c, digest_size=16).digest() for c in got]
-                    keys = np.frombuffer(b"".join(digest), np.int64)[::2] if single else key[part]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(digest, pa.binary()), pa.array(row[part]), pa.array(lo[part]), pa.array(n[part].astype(np.int32)), pa.array(got, pa.binary())], names=["key", "ctx", "__row", "lo", "n", "text"])
-
-    return arrow_map(docs.join(lists, "__row"), run, CONTEXT)
+            data, begin, end, text, at, lo, n, key, ctx, copies = _unpacked(b, text_col, kind)
+            row = b.column("__row").to_numpy()[text]
+            for i in range(0, len(at), 10_000):  # contexts overlap; so many at a time
+                part = slice(i, i + 10_000)
+                got = [data[s:e] for s, e in zip(begin[at[part]].tolist(), end[at[part] + n[part] + kind.window - 2].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[part], ctx[part], row[part], lo[part], n[part].astype(np.int32), copies[part])] + [pa.array(got, pa.binary())], names=["key", "ctx", "__row", "lo", "n", "copies", "text"])
+
+    return arrow_map(_wanted(docs, rows, "key", "ctx", "copies"), run, TEXT)
 
 
 Index = Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]]
@@ -290,7 +318,7 @@ def _indexed(contexts: DataFrame, index: Index) -> DataFrame:
                 edge = np.diff(np.concatenate([[0], m.astype(np.int8), [0]]))
                 found.append([{"s": s, "e": e} for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)])
             first = pa.StructArray.from_arrays([pa.array([x[2] for x in part], pa.int64()), pa.array([x[3] for x in part], pa.int64())], fields=list(place))
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.binary()), first, pa.array(found, out_type)], names=["key", "ctx", "first", "found"])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64()), first, pa.array(found, out_type)], names=["key", "ctx", "first", "found"])
 
         size = 0
         for b in batches:
@@ -303,8 +331,8 @@ def _indexed(contexts: DataFrame, index: Index) -> DataFrame:
         if held:
             yield give(held)
 
-    ordered = contexts.select("key", "ctx", "__row", "lo", "n", "copies", "text").repartition("key").sortWithinPartitions("key")
-    return arrow_map(ordered, run, "key long, ctx binary, first struct<__row: long, lo: long>, found array<struct<s: int, e: int>>")
+    ordered = contexts.repartition("key").sortWithinPartitions("key")
+    return arrow_map(ordered, run, "key long, ctx long, first struct<__row: long, lo: long>, found array<struct<s: int, e: int>>")
 
 
 def repeated(docs: DataFrame, kind: Units, index: Index, *, earlier: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,32 +346,29 @@ def repeated(docs: DataFrame, kind: Units, index: Index, *, earlier: bool, id_co
     rows = shared(_runs(keyed, text_col, kind).join(again, "key", "left_semi"))
     settle(spark)
     discard(again)
-    contexts = shared(_contexts(keyed, rows, text_col, kind))
-    settle(spark)
-    discard(rows)
 
-    def different(contexts: DataFrame) -> DataFrame:
+    def different(rows: DataFrame) -> DataFrame:
         """One row for each context of a core: its first place and its copies."""
-        first = F.min(F.struct("__row", "lo", "n", "text")).alias("first")
-        return contexts.groupBy("key", "ctx").agg(first, F.count("*").alias("copies")).select("key", "ctx", "first.*", "copies")
+        return rows.groupBy("key", "ctx").agg(F.min(F.struct("__row", "lo", "n")).alias("first"), F.count("*").alias("copies")).select("key", "ctx", "first.*", "copies")
 
-    crowded = shared(contexts.select("key", "ctx").distinct().groupBy("key").count().where(F.col("count") > HOT).select("key"))
-    members, unlike = [contexts], different(contexts)
+    unlike = shared(different(rows))
+    crowded = shared(unlike.groupBy("key").count().where(F.col("count") > HOT).select("key"))
+    members, to_index = [rows], unlike
     if not crowded.isEmpty():
-        far = contexts.select("key", "__row", "lo", "n").join(crowded, "key", "left_semi")
-        members = [shared(contexts.join(crowded, "key", "left_anti")), shared(_contexts(keyed, far, text_col, kind, single=True))]
-        unlike = different(members[0]).unionByName(different(members[1]).where("copies > 1"))
-    marked = shared(_indexed(unlike, index))
+        members = [shared(rows.join(crowded, "key", "left_anti")), shared(_windows(keyed, rows.join(crowded, "key", "left_semi"), text_col, kind))]
+        to_index = shared(unlike.join(crowded, "key", "left_anti").unionByName(different(members[1]).where("copies > 1")))
+    settle(spark)
+    marked = shared(_indexed(_texts(keyed, to_index, text_col, kind), index))
     settle(spark)
+    discard(unlike, to_index, crowded)
     full = F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))
     # a later copy of a context has all its windows before it
     found = F.when(F.col("first") == F.struct("__row", "lo"), F.col("found")).otherwise(full) if earlier else F.col("found")
-    every = reduce(DataFrame.unionByName, [x.select("key", "ctx", "__row", "lo", "n") for x in members])
-    known = every.join(marked, ["key", "ctx"]).withColumn("found", found).where(F.size("found") > 0)
+    known = reduce(DataFrame.unionByName, members).join(marked, ["key", "ctx"]).withColumn("found", found).where(F.size("found") > 0)
     spans = known.select("__row", F.transform("found", lambda x: F.struct((x["s"] + F.col("lo")).alias("s"), (x["e"] + F.col("lo")).alias("e"))).alias("spans"))
     by_row = shared(spans.groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__found")))
     settle(spark)
-    discard(contexts, crowded, marked, *members)
+    discard(rows, marked, *members)
     return keyed.join(by_row, "__row", "left")
 
 
