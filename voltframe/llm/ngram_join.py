@@ -1,13 +1,18 @@
-"""Similarity join on word 5-grams by MinHash labels in fixed bands, verified exactly.
+"""Similarity join on word 5-grams by a MinHash LSH forest, verified exactly.
 
 Words are those of ``decontaminate.words`` (A-Z as a-z; punctuation separates); a text's set holds the hashes of its
-runs of five words, or of all its words if they are fewer. Texts of equal sets are one representative with copies. Each
-representative's signature gives ``TREES`` labels of as many minima as find a pair at the threshold with the target
-recall. This is fixed banding in place of an LSH forest: no prefix tries are built, and no label is shortened by matches;
-representatives that share a label are linked to the least of them, and linked ones form candidate groups. A
-task gets the sets of one group, or of two blocks of a group too large for one task, counts common shingles through
-inverted lists, and gives each text's number of links (Jaccard similarity of the threshold or more) and its component;
-pairs are never emitted. Classes are components of verified links.
+runs of five words, or of all its words if they are fewer. Texts of equal sets are one representative with copies.
+
+Each representative has a path of ``DEPTH`` minima in each of ``TREES`` prefix tries. A tree's paths, sorted, are its
+trie: representatives that share a prefix lie side by side, however long it is. Matching begins with whole paths and
+shortens the prefix a minimum at a time until a pair at the threshold is found with the target recall; that depends on
+threshold, target and number of trees alone, so all records stop at one depth, and a deeper match is within it. Tries
+lie in sorted order across partitions (no bucket has to fit in one), and each is read once: representatives are linked
+to the first of their prefix, and a prefix that goes on in the next partition is joined by its label.
+
+Linked representatives form candidate groups. A task gets the sets of one group, or of two blocks of a group too large
+for one task, counts common shingles through inverted lists, and gives each text's number of links (Jaccard similarity
+of the threshold or more) and its component; pairs are never emitted. Classes are components of verified links.
 
 Null, empty and wordless texts are classes of their own with no link. Rows that share a doc_id are texts of their own.
 """
@@ -21,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, ranges, read, row_key, shared, ship, steps, texts
+from .common import arrow_map, ranges, read, row_key, settle, shared, ship, steps, texts, unused
 from .components import components
 from .decontaminate import FOLD
 from .repeats import Hashes, mix, word_hashes, word_spans
@@ -33,7 +38,7 @@ BLOCK = 1_500_000
 
 
 def depth_for(threshold: float, target: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix that finds a pair at ``threshold`` in some tree with a probability of ``target``; an error if none does."""
+    """Shorten the prefix until a pair at ``threshold`` is found in some tree with a probability of ``target``; an error if none does."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
         depth -= 1
     if 1 - (1 - threshold**depth) ** trees < target:
@@ -60,12 +65,12 @@ def shingle_sets(raw: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return h[new], np.bincount(text[new], minlength=len(raw))
 
 
-def signatures(h: np.ndarray, size: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """Labels (texts, trees): a hash of the first ``depth`` minima of each tree. Texts need a shingle each."""
+def paths(h: np.ndarray, size: np.ndarray, trees: int = TREES, depth: int = DEPTH) -> np.ndarray:
+    """Paths (texts, trees, depth): 16 bits of a hash of each minimum. Texts need a shingle each."""
     rng = np.random.default_rng(20)
     start = np.cumsum(size) - size
     x = (h >> np.uint64(32)).astype(np.uint32)
-    out = np.zeros((len(size), trees), np.uint64)
+    out = np.zeros((len(size), trees, depth), np.uint16)
     # a few texts at a time stay in the processor's cache
     cuts = [0, *(np.flatnonzero(np.diff(start // 40_000)) + 1).tolist(), len(size)]
     salts = rng.integers(0, 1 << 32, (trees, depth), np.uint64).astype(np.uint32)
@@ -75,13 +80,42 @@ def signatures(h: np.ndarray, size: np.ndarray, trees: int, depth: int) -> np.nd
             continue
         part, at = x[start[i] : start[j - 1] + size[j - 1]], start[i:j] - start[i]
         for t in range(trees):
-            label = np.full(j - i, t + 1, np.uint64)
             for d in range(depth):
-                label = mix(label * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat((part ^ salts[t, d]) * factors[t, d], at))
-            out[i:j, t] = label
+                out[i:j, t, d] = mix(np.minimum.reduceat((part ^ salts[t, d]) * factors[t, d], at).astype(np.uint64)) & np.uint64(0xFFFF)
     return out
 
 
+def _trie_links(entries: DataFrame, depth: int, longest: int) -> DataFrame:
+    """a, b, label: links of nodes to the first of their prefix of ``depth`` minima in a partition (label is null), and the label of each partition's first and last prefix with its first node (a = b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def give(a, b, label) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(label, pa.binary())], names=["a", "b", "label"])
+
+        held, head = b"", 0  # the prefix that the last batch ended with, and its first node
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node = batch.column("node").to_numpy()
+            path = np.frombuffer(b"".join(batch.column("path").to_pylist()), np.uint8).reshape(len(node), 1 + 2 * longest)[:, : 1 + 2 * depth]
+            new = np.ones(len(node), bool)
+            new[1:] = (path[1:] != path[:-1]).any(1)
+            first = path[0].tobytes()
+            heads = node[np.maximum.accumulate(np.where(new, np.arange(len(node)), 0))]
+            if first == held:
+                lead = slice(0, int(np.argmax(new[1:])) + 1 if new[1:].any() else len(node))
+                heads[lead] = head
+            elif not held:
+                yield give([node[0]], [node[0]], [first])
+            linked = node != heads
+            yield give(node[linked], heads[linked], [None] * int(linked.sum()))
+            held, head = path[-1].tobytes(), int(heads[-1])
+        if held:
+            yield give([head], [head], [held])
+
+    return arrow_map(entries, run, "a long, b long, label binary")
+
+
 def linked(h: np.ndarray, size: np.ndarray, copies: np.ndarray, side: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Each text's links (copies count) and the least number in its component; with ``side``, only across sides."""
     m = len(size)
@@ -148,30 +182,38 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, target: float = TA
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, text_col, rows=2000, size=2 << 20):
+        for b in steps(batches, text_col, rows=1000, size=1 << 20):
             h, size = shingle_sets(texts(b, text_col))
             some = size > 0
             start = (np.cumsum(size) - size)[some]
             one, two = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
-            labels: list = [[]] * len(size)
+            found: list[bytes | None] = [None] * len(size)
             if some.any():
                 one[some], two[some] = np.add.reduceat(mix(h), start), np.add.reduceat(mix(~h), start)
-                for i, x in zip(np.flatnonzero(some).tolist(), signatures(h, size[some], TREES, depth).view(np.int64).tolist(), strict=True):
-                    labels[i] = x
-            yield pa.RecordBatch.from_arrays([b.column("__row"), b.column(id_col), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(labels, pa.list_(pa.int64()))], names=["__row", id_col, "n", "h1", "h2", "labels"])
+                got = paths(h, size[some])
+                for i, x in zip(np.flatnonzero(some).tolist(), got, strict=True):
+                    found[i] = x.tobytes()
+            yield pa.RecordBatch.from_arrays([b.column("__row"), b.column(id_col), pa.array(size, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(found, pa.binary())], names=["__row", id_col, "n", "h1", "h2", "paths"])
 
-    rows = shared(arrow_map(keyed.select("__row", id_col, text_col), sign, f"__row long, `{id_col}` {kind}, n long, h1 long, h2 long, labels array<long>"))
-    best = F.min(F.struct(F.col("__row").alias("node"), "n", "labels"))
+    rows = shared(arrow_map(keyed.select("__row", id_col, text_col), sign, f"__row long, `{id_col}` {kind}, n long, h1 long, h2 long, paths binary"))
+    best = F.min(F.struct(F.col("__row").alias("node"), "n", "paths"))
     nodes = shared(rows.where("n > 0").groupBy("h1", "h2").agg(best.alias("x"), F.count("*").alias("copies")).select("h1", "h2", "x.*", "copies"))
-    paths = nodes.select("node", F.explode("labels").alias("label"))
-    least = paths.groupBy("label").agg(F.min("node").alias("to"), F.count("*").alias("c")).where("c > 1").select("label", "to")
-    near = components(paths.join(least, "label").where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")))
+    settle(docs.sparkSession)
+    by_tree = nodes.select("node", F.col("paths"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    step = 2 * DEPTH
+    entries = by_tree.select(F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), F.substring("paths", F.col("tree") * step + 1, F.lit(step))).alias("path"), "node")
+    tries = entries.repartitionByRange("path", "node").sortWithinPartitions("path", "node")
+    links = shared(_trie_links(tries, depth, DEPTH))
+    settle(docs.sparkSession)
+    ends = links.where("label is not null")
+    across = ends.join(ends.groupBy("label").agg(F.min("a").alias("to")), "label").where("a <> to").select("a", F.col("to").alias("b"))
+    near = components(links.where("label is null").select("a", "b").unionAll(across))
     member = near.join(nodes.select("node", "n", "copies"), "node")
     size = member.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(block)).cast("int").alias("blocks"))
     member = shared(member.join(size, "component").select("node", "component", "copies", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("b")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, text_col, rows=2000, size=2 << 20):
+        for b in steps(batches, text_col, rows=1000, size=1 << 20):
             h, size = shingle_sets(texts(b, text_col))
             ends = np.cumsum(size)
             yield pa.RecordBatch.from_arrays([*b.drop_columns([text_col]).columns, pa.array([h[e - s : e].tobytes() for s, e in zip(size.tolist(), ends.tolist(), strict=True)], pa.binary())], names=["node", "component", "copies", "blocks", "b", "shingles"])
@@ -192,9 +234,10 @@ def classes(docs: DataFrame, *, threshold: float = THRESHOLD, target: float = TA
 
 def one_of_each(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class of ``docs``, that of the least key, with all columns."""
-    keyed = row_key(docs, id_col)
-    gone = classes(keyed.select(F.col("__row").alias("__id"), text_col), threshold=threshold, id_col="__id", text_col=text_col).where("class_id <> __row").select("__row")
-    return keyed.join(gone, "__row", "left_anti").select(*docs.columns)
+    row = unused(docs, "__row")
+    keyed = row_key(docs, id_col, row)
+    gone = classes(keyed.select(F.col(row).alias("__id"), F.col(text_col).alias("__text")), threshold=threshold, id_col="__id", text_col="__text").where("class_id <> __row").select(F.col("__row").alias(row))
+    return keyed.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
