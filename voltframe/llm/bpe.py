@@ -28,9 +28,9 @@ from .common import arrow_map, ranges, read, resident, ship, steps, texts
 #: A query over short words keeps the rows of all turns: at most so many words, and so many by the sum of their squared
 #: lengths. Words of more than LONG bytes are encoded with one row a byte, so many bytes (or one word) a query. A worker's
 #: cache of words starts anew at so many bytes. All of these only bound memory.
-WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 25_000, 2_500_000, 64, 1 << 20, 64 << 20
+WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 12_000, 1_200_000, 64, 1 << 20, 40 << 20
 #: Bytes of text that are encoded at once.
-TEXT_BYTES = 6 << 20
+TEXT_BYTES = 3 << 20
 
 #: White space beyond ASCII.
 WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -118,7 +118,7 @@ class Coder:
 
         spill = tempfile.mkdtemp(prefix="bpe-")
         weakref.finalize(self, shutil.rmtree, spill, ignore_errors=True)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": spill})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "120MB", "temp_directory": spill})
         self.split = regex.compile(pattern).findall
         pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r << 32, max(ranks[x] if len(x) > 1 else -1 for x in (t[:i], t[i:])) > r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         table = np.array(pairs, np.int64).reshape(-1, 3)

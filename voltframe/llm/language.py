@@ -34,7 +34,7 @@ LETTERS, PIECE = 24, 1 << 16
 #: Words and letters of words in a worker's cache before it starts anew; they bound memory.
 CACHED, CACHED_LETTERS = 300_000, 8_000_000
 #: Bytes of text that are tagged at once; they bound memory, not input.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 WORD = re.compile(r"[^\W\d_]+")
 KINDS = 7  # lexicon, three beginnings, three ends; then n-grams
 
