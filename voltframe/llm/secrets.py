@@ -16,7 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, unused
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -84,46 +84,81 @@ def ratio(token: Column, model: list[float]) -> Column:
     )
 
 
+SPANS = "array<struct<s: int, kind: int, e: int>>"
+#: Hits that one step of a running sum takes; sums over steps come first, so that no array grows by one for each hit.
+CHUNK = 256
+#: What may stand for a masked character (none of any pattern's): the first that the text doesn't have.
+BLANKS = "\u0000\u0001\u0002\u0003\ue000\ue001\ue002\ue003"
+
+
 def _found(pieces: Column, hits: Column, kind: int) -> Column:
-    """array<struct<s, kind, e>> of matches, from what lies between them and what they are."""
-    none = F.expr("cast(array() as array<struct<s: int, kind: int, e: int>>)")
-    return F.aggregate(
-        F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(F.length(p).alias("p"), F.length(h).alias("h"))),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct((acc["at"] + x["p"] + x["h"]).alias("at"), F.concat(acc["out"], F.array(F.struct((acc["at"] + x["p"]).alias("s"), F.lit(kind).alias("kind"), (acc["at"] + x["p"] + x["h"]).alias("e")))).alias("out")),
-        lambda acc: acc["out"],
-    )
+    """The spans of matches, from what lies between them and what they are."""
+    sizes = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(F.length(p).alias("p"), F.length(h).alias("h")))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / CHUNK).cast("int")), lambda i: F.slice(sizes, i * CHUNK + 1, CHUNK))
+    totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["p"] + x["h"]))
+    starts = F.aggregate(totals, F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+
+    def spans(chunk: Column, start: Column) -> Column:
+        return F.aggregate(
+            chunk,
+            F.struct(start.alias("at"), F.lit(None).cast(SPANS).alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x["p"] + x["h"]).alias("at"), F.concat(F.coalesce(acc["out"], F.expr(f"cast(array() as {SPANS})")), F.array(F.struct((acc["at"] + x["p"]).alias("s"), F.lit(kind).alias("kind"), (acc["at"] + x["p"] + x["h"]).alias("e")))).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    return F.flatten(F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), spans))
+
+
+def _masked(text: Column, blank: Column, regex: str, hits: Column, wanted: Column) -> Column:
+    """``text`` with the wanted matches blanked, length kept."""
+    pieces = F.split(text, regex, -1)
+    out = F.zip_with(hits, wanted, lambda h, w: F.when(w, F.repeat(blank, F.length(h))).otherwise(h))
+    return F.array_join(F.zip_with(pieces, out, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), "")
 
 
-def _matches(text: Column, regex: str, kind: int, might: Column) -> Column:
-    none = F.expr("cast(array() as array<struct<s: int, kind: int, e: int>>)")
-    return F.when(might, _found(F.split(text, regex, -1), F.regexp_extract_all(text, F.lit(regex), F.lit(0)), kind)).otherwise(none)
+def _names(docs: DataFrame) -> dict[str, str]:
+    """Names of the scan's own columns that none of ``docs`` has."""
+    return {k: unused(docs, f"__{k}") for k in ("spans", "text", "named", "runs", "values", "blank", "assign", "access", "hex", "n_base", "masked", "tokens", "secret")}
 
 
 def find(docs: DataFrame, model: list[float] | None = None, *, text_col: str = "text", out: str = "__spans") -> DataFrame:
     """All columns and ``out``: array<struct<s, kind, e>> sorted by start, then kind (0 to 3 as in ``KINDS``)."""
+    names = _names(docs)
+    return _scanned(docs, model, text_col, names).select(*docs.columns, F.col(names["spans"]).alias(out))
+
+
+def _scanned(docs: DataFrame, model: list[float] | None, text_col: str, c: dict[str, str]) -> DataFrame:
+    """``docs``, and under the names ``c`` the spans, the text without base spans, its long tokens and whether each is secret."""
     model = model if model is not None else fit(default_samples(docs.sparkSession))
-    t, low = F.col("__t"), F.col("__low")
+    none, t = F.expr(f"cast(array() as {SPANS})"), F.col(c["text"])
+    strings = F.expr("cast(array() as array<string>)")
+    df = docs.withColumn(c["text"], F.coalesce(F.col(text_col), F.lit("")))
+    low = F.lower(t)
     named = low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api_key") | low.contains("apikey")
-    df = docs.withColumn("__t", F.coalesce(F.col(text_col), F.lit(""))).withColumn("__low", F.lower("__t"))
-    df = df.withColumns({"__named": named, "__runs": F.size(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))) > 0})
-    df = df.withColumns({
-        "__a": _matches(t, ASSIGN, 0, F.col("__named")),
-        "__k": _matches(t, ACCESS, 1, t.contains("AKIA")),
-        "__x": _matches(t, HEX, 2, F.col("__runs")),
-        "__m": _matches(t, TOKEN, 3, F.col("__runs")),
-        "__v": F.when(F.col("__named"), F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2))).otherwise(F.expr("cast(array() as array<string>)")),
-    })
-    df = df.withColumns({
-        "__a": F.filter(F.zip_with("__a", "__v", lambda a, v: F.when(F.length(v) >= 8, a)), lambda a: a.isNotNull()),
-        "__k": F.filter("__k", lambda k: k["e"] - k["s"] >= 16),
-    })
-    df = df.withColumn("__base", F.concat("__a", "__k", "__x"))
-    apart = F.filter("__m", lambda m: ~F.exists("__base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"])))
-    df = df.withColumn("__m", apart)
-    judged = F.filter("__m", lambda m: ratio(F.substring(t, m["s"] + 1, m["e"] - m["s"]), model) > MARGIN)
-    df = df.withColumn(out, F.array_sort(F.concat("__base", F.when(F.size("__m") > 0, judged).otherwise(F.col("__m")))))
-    return df.drop("__t", "__low", "__named", "__runs", "__a", "__k", "__x", "__m", "__v", "__base")
+    blanks = F.array(*[F.lit(x) for x in BLANKS])
+    df = df.withColumns({c["blank"]: F.coalesce(F.get(F.filter(blanks, lambda x: ~t.contains(x)), F.lit(0)), F.lit(BLANKS[0])), c["named"]: named, c["runs"]: F.size(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))) > 0})
+
+    def hits(regex: str, might: Column, group: int = 0) -> Column:
+        return F.when(might, F.regexp_extract_all(t, F.lit(regex), F.lit(group))).otherwise(strings)
+
+    df = df.withColumns({c["assign"]: hits(ASSIGN, F.col(c["named"])), c["values"]: hits(ASSIGN, F.col(c["named"]), 2), c["access"]: hits(ACCESS, t.contains("AKIA")), c["hex"]: hits(HEX, F.col(c["runs"]))})
+    wanted = {"assign": F.transform(c["values"], lambda v: F.length(v) >= 8), "access": F.transform(c["access"], lambda k: F.length(k) >= 16), "hex": F.transform(c["hex"], lambda k: F.lit(True))}
+
+    def base(name: str, regex: str, kind: int) -> Column:
+        fine = F.filter(F.zip_with(_found(F.split(t, regex, -1), F.col(c[name]), kind), wanted[name], lambda x, w: F.when(w, x)), lambda x: x.isNotNull())
+        return F.when(F.size(c[name]) > 0, fine).otherwise(none)
+
+    df = df.withColumn(c["spans"], F.concat(base("assign", ASSIGN, 0), base("access", ACCESS, 1), base("hex", HEX, 2)))
+    # base spans are blanked one kind after the other, and what remains of a long run is judged by itself
+    df = df.withColumns({c["n_base"]: F.size(c["spans"]), c["masked"]: F.when(F.size(c["spans"]) > 0, F.when(F.size(c["assign"]) > 0, _masked(t, F.col(c["blank"]), ASSIGN, F.col(c["assign"]), wanted["assign"])).otherwise(t)).otherwise(t)})
+    m = F.col(c["masked"])
+    for kind, regex, least in (("access", ACCESS, 16), ("hex", HEX, 32)):
+        again = F.regexp_extract_all(m, F.lit(regex), F.lit(0))
+        df = df.withColumn(c["masked"], F.when(F.size(c[kind]) > 0, _masked(m, F.col(c["blank"]), regex, again, F.transform(again, lambda x, n=least: F.length(x) >= n))).otherwise(m))
+    df = df.withColumn(c["tokens"], F.when(F.col(c["runs"]), F.regexp_extract_all(m, F.lit(TOKEN), F.lit(0))).otherwise(strings))
+    df = df.withColumn(c["secret"], F.transform(c["tokens"], lambda x: ratio(x, model) > MARGIN))
+    judged = F.filter(F.zip_with(_found(F.split(m, TOKEN, -1), F.col(c["tokens"]), 3), F.col(c["secret"]), lambda x, w: F.when(w, x)), lambda x: x.isNotNull())
+    return df.withColumn(c["spans"], F.array_sort(F.when(F.size(c["tokens"]) > 0, F.concat(c["spans"], judged)).otherwise(F.col(c["spans"]))))
 
 
 def shown(spans: Column) -> Column:
@@ -134,15 +169,11 @@ def shown(spans: Column) -> Column:
 
 def redact(docs: DataFrame, model: list[float] | None = None, *, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns; in ``text_col``, each stretch of overlapping or touching spans is replaced by ``mark``."""
-    kept = F.aggregate(
-        "__spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("text")),
-        lambda acc, x: F.when(x["e"] <= acc["at"], acc).otherwise(
-            F.struct(x["e"].alias("at"), F.concat(acc["text"], F.when((x["s"] > acc["at"]) | (acc["at"] == 0), F.concat(F.substring(F.col(text_col), acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))).alias("text"))
-        ),
-        lambda acc: F.concat(acc["text"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))),
-    )
-    return find(docs, model, text_col=text_col).withColumn(text_col, F.when(F.size("__spans") > 0, kept).otherwise(F.col(text_col))).drop("__spans")
+    c = _names(docs)
+    df = _scanned(docs, model, text_col, c)
+    blank = F.when(F.size(c["tokens"]) > 0, _masked(F.col(c["masked"]), F.col(c["blank"]), TOKEN, F.col(c["tokens"]), F.col(c["secret"]))).otherwise(F.col(c["masked"]))
+    cut = F.regexp_replace(blank, F.concat(c["blank"], F.lit("+")), F.lit(mark.replace("\\", "\\\\").replace("$", "\\$")))
+    return df.select(*[F.when(F.size(c["spans"]) > 0, cut).otherwise(F.col(x)).alias(x) if x == text_col else F.col(x) for x in docs.columns])
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
