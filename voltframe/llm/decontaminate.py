@@ -6,13 +6,12 @@ benchmark windows are searched backward at once, their occurrences located throu
 spans of words. No text moves. The benchmark is sent to the tasks in parts of at most ``PART_BYTES``; the documents are
 scanned once for each part, and spans of several parts are merged by row.
 
-Null, empty and wordless documents have no words and no hits. Benchmark rows with a null id, a null text or no words
-are no items; rows of one id are one item. Rows that share a doc_id each get their own result.
+Null, empty and wordless documents have no words and no hits. Benchmark rows with a null text or no words
+are no items; rows of one id are one item; words of rows with a null id are hit, but no item is named. Rows that share a doc_id each get their own result.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, ranges, read, row_key, ship, steps, texts
+from .common import arrow_map, ranges, read, row_key, ship, steps, texts, unused
 from .fm_index import FMIndex
 
-WINDOW, SHARD, PART_BYTES = 13, 2_000_000, 32 << 20
+WINDOW, SHARD, PART_BYTES = 13, 2_000_000, 8 << 20
 #: A-Z to a-z; all that is no word byte to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -34,21 +33,36 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of items, as rows of word ids from 1, and the items of each."""
+    """The distinct windows of items, as rows of word ids from 1, and the items of each; items of no name have windows only."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.ids: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        self.names = sorted({x for x, _ in items if x is not None})
+        number = {x: i for i, x in enumerate(self.names)}
+        parts, owner = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int64)]
         for item, text in items:
-            w = [self.ids.setdefault(x, len(self.ids) + 1) for x in words(text)]
-            for i in range(max(1, len(w) - window + 1) if w else 0):
-                owners[tuple(w[i : i + window])].add(item)
-        self.owners = [sorted(x) for x in owners.values()]
-        self.lengths = np.array([len(x) for x in owners], np.int64)
-        self.table = np.full((len(owners), window), -1, np.int64)
-        for i, x in enumerate(owners):
-            self.table[i, : len(x)] = x
-        self.least = int(self.lengths.min()) if owners else 0
+            w = np.array([self.ids.setdefault(x, len(self.ids) + 1) for x in words(text)], np.int32)
+            if len(w):
+                if len(w) < window:
+                    w = np.append(w, np.full(window - len(w), -1, np.int32))
+                parts.append(np.lib.stride_tricks.sliding_window_view(w, window))
+                owner.append(np.full(len(parts[-1]), number.get(item, -1)))
+        rows, item = np.concatenate(parts), np.concatenate(owner)
+        order = np.lexsort((item, *rows.T[::-1]))
+        rows, item = rows[order], item[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(1)
+        which = np.cumsum(new) - 1
+        self.table = rows[new].astype(np.int64)
+        self.lengths = (self.table >= 0).sum(1)
+        keep = item >= 0
+        keep[1:] &= new[1:] | (item[1:] != item[:-1])
+        self.owned = item[keep]
+        self.first = np.searchsorted(which[keep], np.arange(len(self.table) + 1))
+        self.least = int(self.lengths.min()) if len(self.table) else 0
+
+    def owners(self, w: int) -> list[str]:
+        return [self.names[i] for i in self.owned[self.first[w] : self.first[w + 1]].tolist()]
 
 
 class Shard:
@@ -103,7 +117,7 @@ class Shard:
         begin = np.cumsum(length + 1) - length - 1
         run = np.searchsorted(begin, at, side="right") - 1
         for d, w in np.unique(np.stack([doc[run], which]), axis=1).T.tolist():
-            items[d] += self.windows.owners[w]
+            items[d] += self.windows.owners(w)
         cover = np.zeros(len(text) + 1, np.int64)
         np.add.at(cover, at, 1)
         np.add.at(cover, at + self.windows.lengths[which], -1)
@@ -115,8 +129,9 @@ class Shard:
         return spans, [sorted(set(x)) for x in items]
 
 
-def _part(docs: DataFrame, items: list[tuple[str, bytes]], id_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    windows = docs.sparkSession.sparkContext.broadcast(Windows(items))
+def _part(docs: DataFrame, items: list[tuple[str | None, bytes]], text_col: str, keep: list[str], names: list[str]) -> DataFrame:
+    """The columns ``keep``, and n_words, spans, items under ``names``."""
+    windows = docs.sparkSession.sparkContext.broadcast(Windows(items))  # of ``PART_BYTES`` of text at most, or one item
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     out_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
@@ -129,7 +144,7 @@ def _part(docs: DataFrame, items: list[tuple[str, bytes]], id_col: str, text_col
             for b in held:
                 part = slice(at, at + b.num_rows)
                 at += b.num_rows
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(counts[part], pa.int64()), pa.array(spans[part], out_type), pa.array(items[part], pa.list_(pa.string()))], names=[*keep, "__n_words", "__spans", "__items"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(counts[part], pa.int64()), pa.array(spans[part], out_type), pa.array(items[part], pa.list_(pa.string()))], names=[*keep, *names])
             held.clear()
             shard.clear()
 
@@ -141,31 +156,33 @@ def _part(docs: DataFrame, items: list[tuple[str, bytes]], id_col: str, text_col
         if held:
             yield from give()
 
-    return arrow_map(docs.select(*dict.fromkeys([*keep, text_col])), run, f"{kinds}, __n_words bigint, __spans array<struct<s: int, e: int>>, __items array<string>")
+    return arrow_map(docs.select(*dict.fromkeys([*keep, text_col])), run, f"{kinds}, `{names[0]}` bigint, `{names[1]}` array<struct<s: int, e: int>>, `{names[2]}` array<string>")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, keep: list[str], id_col: str, text_col: str, item_col: str, item_text_col: str, part_bytes: int) -> DataFrame:
-    """The columns ``keep``, and __n_words, __n_hit, __spans, __items."""
+def _found(docs: DataFrame, benchmark: DataFrame, keep: list[str], id_col: str, text_col: str, item_col: str, item_text_col: str, part_bytes: int) -> tuple[DataFrame, list[str]]:
+    """The columns ``keep``, and n_words, spans, items, n_hit under names that no column of ``docs`` has; and these names."""
     ship(docs.sparkSession)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item is not null and text is not null")
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
+    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     parts = size // part_bytes + 1
-    chosen = ([(r["item"], r["text"].encode()) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k).collect()] for k in range(parts))
+    names = [unused(docs, f"__{c}") for c in ("n_words", "spans", "items", "n_hit")]
+    chosen = ([(r["item"], r["text"].encode()) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).collect()] for k in range(parts))
     if parts == 1:
-        df = _part(docs, next(chosen), id_col, text_col, keep)
+        df = _part(docs, next(chosen), text_col, keep, names[:3])
     else:
-        keyed = row_key(docs, id_col)
-        every = reduce(DataFrame.unionByName, [_part(keyed, c, id_col, text_col, ["__row"]) for c in chosen])
-        merged = every.groupBy("__row").agg(F.first("__n_words").alias("__n_words"), F.array_sort(F.flatten(F.collect_list("__spans"))).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
-        df = keyed.select(*keep, "__row").join(merged, "__row").drop("__row")
-    hit = F.aggregate("__spans", F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")), lambda a, x: F.struct(F.greatest(a["end"], x["e"]).alias("end"), (a["n"] + F.greatest(x["e"] - F.greatest(a["end"], x["s"]), F.lit(0))).alias("n")), lambda a: a["n"])
-    return df.withColumn("__n_hit", hit)
+        row = unused(docs, "__row")
+        keyed = row_key(docs, id_col, row)
+        every = reduce(DataFrame.unionByName, [_part(keyed, c, text_col, [row], names[:3]) for c in chosen])
+        merged = every.groupBy(row).agg(F.first(names[0]).alias(names[0]), F.array_sort(F.flatten(F.collect_list(names[1]))).alias(names[1]), F.array_sort(F.array_distinct(F.flatten(F.collect_list(names[2])))).alias(names[2]))
+        df = keyed.select(*keep, row).join(merged, row).drop(row)
+    hit = F.aggregate(names[1], F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")), lambda a, x: F.struct(F.greatest(a["end"], x["e"]).alias("end"), (a["n"] + F.greatest(x["e"] - F.greatest(a["end"], x["s"]), F.lit(0))).alias("n")), lambda a: a["n"])
+    return df.withColumn(names[3], hit), names
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """id, n_words, n_hit, spans (of word numbers, end exclusive), items (sorted) of each row of ``docs``."""
-    df = _found(docs.select(id_col, text_col), benchmark, [id_col], id_col, text_col, item_col, item_text_col, part_bytes)
-    return df.select(id_col, *[F.col(f"__{c}").alias(c) for c in ("n_words", "n_hit", "spans", "items")])
+    df, (n_words, spans, items, n_hit) = _found(docs.select(id_col, text_col), benchmark, [id_col], id_col, text_col, item_col, item_text_col, part_bytes)
+    return df.select(id_col, *[F.col(c).alias(to) for c, to in ((n_words, "n_words"), (n_hit, "n_hit"), (spans, "spans"), (items, "items"))])
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:
@@ -175,8 +192,8 @@ def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, with all their columns."""
-    df = _found(docs, benchmark, docs.columns, id_col, text_col, item_col, item_text_col, part_bytes)
-    return df.where(~contaminated("__n_hit", "__n_words")).select(*docs.columns)
+    df, (n_words, _, _, n_hit) = _found(docs, benchmark, docs.columns, id_col, text_col, item_col, item_text_col, part_bytes)
+    return df.where(~contaminated(n_hit, n_words)).select(*docs.columns)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
