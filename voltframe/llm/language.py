@@ -5,8 +5,9 @@ sequences (all of them, however long the word) and the word itself (the lexicon)
 stretches and strings stretches of different ones together, so that labels switch as in mixed text. Forward-backward
 gives each word's posterior; a document's language is that of most posterior mass.
 
-Fitting takes at most ``MAX_PER_LABEL`` documents of each language (those whose ids hash lowest) and ``MAX_WORDS`` words
-of each language; prediction maps every row's whole text by itself, exactly and in blocks, so that a huge text takes
+Fitting takes at most ``MAX_PER_LABEL`` documents of each language (those whose ids hash lowest; fewer where there are so
+many languages that these would be more than ``MAX_ROWS``, but every language teaches) and ``MAX_WORDS`` words of each
+language; prediction maps every row's whole text by itself, exactly and in blocks, so that a huge text takes
 no more memory than its words. A null text or one without a letter is ``und`` with score 0.
 """
 
@@ -19,12 +20,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, read, resident, ship, steps
+from .common import held_out, read, resident, ship, steps, unused, within
 
-MAX_PER_LABEL, MAX_WORDS, MAX_LABELS = 200, 60_000, 200
+#: What teaches at most: documents and words of each language, documents and bytes of all languages together.
+MAX_PER_LABEL, MAX_WORDS, MAX_ROWS, MAX_BYTES = 200, 60_000, 20_000, 96 << 20
 #: Each kind of feature has a table of so many weights of its own.
 SLOTS = 1 << 16
 ROUNDS, RATE, RIDGE = 60, 0.15, 1e-5
@@ -35,7 +37,9 @@ LETTERS, PIECE = 24, 1 << 16
 CACHED, CACHED_LETTERS = 300_000, 8_000_000
 #: Bytes of text that are tagged at once; they bound memory, not input.
 TEXT_BYTES = 1 << 20
-WORD = re.compile(r"[^\W\d_]+")
+#: What counts as a word character to ``re`` but is no letter: fractions, circled numbers and the like.
+NUMERALS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 KINDS = 7  # lexicon, three beginnings, three ends; then n-grams
 
 
@@ -312,24 +316,24 @@ class Tagger:
 
 
 def sample(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learn: Column | None = None, per_label: int = MAX_PER_LABEL) -> list[tuple[str, str]]:
-    """(text, language) of a bounded sample: at most ``per_label`` rows of each of at most ``MAX_LABELS`` languages."""
+    """(text, language) of a bounded sample: at most ``per_label`` rows of each language; only ids and sizes are gathered before ``MAX_BYTES`` is kept."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).where(learn if learn is not None else F.lit(True))
-    languages = sorted(r[0] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LABELS).collect())
-    rows: list[tuple[str, str]] = []
-    ids = known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.xxhash64(id_col).alias("__order"))
-    chosen = None
-    for lang in languages:
-        some = ids.where(F.col("__lang") == lang).orderBy("__order", "__id").limit(per_label)
-        chosen = some if chosen is None else chosen.unionAll(some)
-    if chosen is not None:
-        pick = known.join(F.broadcast(chosen), (F.col(id_col) == F.col("__id")) & (F.col(lang_col) == F.col("__lang")))
-        # per_label rows for each language; rows that share an id make up for others
-        rows = [(r[0], r[1]) for r in pick.select(text_col, "__lang", "__order").orderBy("__order", F.xxhash64(text_col)).limit(per_label * len(languages)).collect()]
-    return rows
-
-
-def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """id (or the columns ``keep``), __lang_pred, __score of each row. Only texts go to the workers and only predictions come back; the other columns stay in the JVM."""
+    known = known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), F.xxhash64(id_col).alias("__order"))
+    languages = known.agg(F.count_distinct("__lang")).first()[0]
+    per_label = max(1, min(per_label, MAX_ROWS // max(1, languages)))
+    by = Window.partitionBy("__lang").orderBy("__order", "__id", "__size")
+    nth = known.select("__id", "__lang", "__order", F.octet_length("__text").alias("__size")).withColumn("__nth", F.row_number().over(by))
+    chosen = nth.where(F.col("__nth") <= per_label).orderBy("__nth", "__lang").collect()  # the first of every language, then the second
+    keys = within([((r["__id"], r["__lang"]), r["__size"]) for r in chosen], MAX_BYTES)
+    if not keys:
+        return []
+    some = docs.sparkSession.createDataFrame(list(dict.fromkeys(keys)), known.select("__id", "__lang").schema)
+    rows = known.join(F.broadcast(some), ["__id", "__lang"]).select("__text", "__lang", "__order").orderBy("__order", F.xxhash64("__text")).limit(len(keys)).collect()
+    return [(r[0], r[1]) for r in rows]
+
+
+def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, out_names: tuple[str, str] = ("__lang_pred", "__score")) -> DataFrame:
+    """id (or the columns ``keep``), the predicted language and its score (``out_names``) of each row. Only texts go to the workers and only predictions come back; the other columns stay in the JVM."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # (KINDS + 1) * SLOTS weights for each language
 
@@ -347,15 +351,17 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                 scores += score
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
 
-    out = docs.withColumn("__tagged", tagged(F.col(text_col)))
-    return out.select(*([id_col] if keep is None else keep), F.col("__tagged.lang").alias("__lang_pred"), F.col("__tagged.score").alias("__score"))
+    column = unused(docs, "__tagged")
+    out = docs.withColumn(column, tagged(F.col(text_col)))
+    return out.select(*([id_col] if keep is None else keep), F.col(f"{column}.lang").alias(out_names[0]), F.col(f"{column}.score").alias(out_names[1]))
 
 
 def accept(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", at_least: float = 0.35) -> DataFrame:
     """The rows whose text has a letter and whose language has a score of ``at_least``, with all their columns; the model learns from ``docs``."""
     model = fit(sample(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, learn=~held_out(id_col)))
-    df = predict(docs, model, id_col=id_col, text_col=text_col, keep=docs.columns)
-    return df.where((F.col("__lang_pred") != "und") & (F.col("__score") >= at_least)).select(*docs.columns)
+    lang, score = unused(docs, "__lang_pred"), unused(docs, "__score")
+    df = predict(docs, model, id_col=id_col, text_col=text_col, keep=docs.columns, out_names=(lang, score))
+    return df.where((F.col(lang) != "und") & (F.col(score) >= at_least)).select(*docs.columns)
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
