@@ -7,13 +7,14 @@ index (its rows' values). For each query, blocks come in order of the bound that
 through their forward index until a bound falls below the query's k-th score. The k best of every shard then merge.
 
 Vectors that are null, or hold a null or a component that isn't finite, take no part. Shorter vectors count as if
-filled with zeros. Equal scores go to the smaller id; a query's own row (any row of its id) is no candidate. Scores
-beyond 64 bits are held at the nearest 64-bit number. Rows with a null id take no part.
+filled with zeros. Equal scores go to the smaller id; a query's own row (any row of its id) is no candidate; of queries
+that share an id, the least vector asks. Scores beyond 64 bits are held at the nearest 64-bit number. Rows with a null
+id take no part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,19 @@ SHARD_ROWS, GROUP_QUERIES = 16_384, 2_048
 SMALL = 1 << 20
 
 
-def matrix(vectors: list[list[int]], width: int, exact: bool) -> np.ndarray:
-    out = np.zeros((len(vectors), width), object if exact else np.float64)
+def whole(x: float) -> int:
+    """floor(1024 * x), exactly."""
+    return math.floor(1024 * x) if abs(x) < 2.0**53 else 1024 * int(x)
+
+
+def matrix(vectors: list[list[float]], width: int) -> np.ndarray:
+    """Rows of floor(1024 * x): doubles where their products sum exactly, else Python's whole numbers."""
+    out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return out
+    if width <= 4096 and np.abs(out).max(initial=0) <= SMALL / 1024:
+        return np.floor(1024 * out)
+    return np.array([[whole(x) for x in v] for v in out.tolist()], object).reshape(out.shape)
 
 
 def order_alike(m: np.ndarray, block: int = BLOCK) -> np.ndarray:
@@ -98,8 +107,7 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     ship(spark)
     x = F.col(vector_col)
     fine = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    whole = F.transform(x, lambda c: F.floor(F.lit(1024.0) * c.cast("double")))
-    rows = vectors.where(F.col(id_col).isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), whole.cast("array<long>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    rows = vectors.where(F.col(id_col).isNotNull() & fine).select(F.col(id_col).cast("long").alias("id"), x.cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     counts = rows.agg(F.count("*"), F.count_if("q")).first()
     shards, groups = max(1, -(-counts[0] // shard_rows)), max(1, -(-counts[1] // group_queries))
 
@@ -107,20 +115,18 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
         return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(of)).cast("int")
 
     given = rows.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), number(shards, 1).alias("s"), "id", "v", F.lit(False).alias("q"))
-    asked = rows.where("q").select(number(groups, 2).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"), "id", "v", F.lit(True).alias("q"))
+    asked = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).select(number(groups, 2).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"), "id", "v", F.lit(True).alias("q"))
 
     def run(table: pa.Table) -> pa.Table:
         kinds, ids = table["q"].to_numpy(), table["id"].to_numpy()
         values = table["v"].to_pylist()
-        width = max(map(len, values))
-        exact = max((max(abs(min(v)), abs(max(v))) for v in values if v), default=0) > SMALL or width > 4096
-        m = matrix(values, width, exact)
+        m = matrix(values, max(map(len, values)))
         if kinds.all() or not kinds.any():
             found = np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)
             asked_ids = ids
         else:
-            asked_ids, at = np.unique(ids[kinds], return_index=True)
-            found = search(m[kinds][at], asked_ids, m[~kinds], ids[~kinds], k)
+            asked_ids = ids[kinds]
+            found = search(m[kinds], asked_ids, m[~kinds], ids[~kinds], k)
         scores = [max(-(2**63), min(2**63 - 1, int(s))) for s in found[2]]
         return pa.table({"query_id": pa.array(asked_ids[found[0]], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(scores, pa.int64())})
 
