@@ -46,6 +46,17 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", name: str = "__row") -> Dat
     return shared(numbered.drop(h).withColumn(name, F.monotonically_increasing_id()))
 
 
+def within(sizes: list[tuple], most: int) -> list:
+    """The first of (key, size) pairs whose sizes come to ``most`` at most; one at least."""
+    out, total = [], 0
+    for key, size in sizes:
+        total += size
+        if out and total > most:
+            break
+        out.append(key)
+    return out
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or something like it that no column of ``df`` is called."""
     taken = {c.lower() for c in df.columns}

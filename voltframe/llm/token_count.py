@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import load_ranks, parse_ranks
-from .common import arrow_map, read, ship, steps, texts
+from .common import arrow_map, read, resident, ship, steps, texts
 
 #: Distinct words whose counts a worker keeps before it starts anew; it only bounds memory.
 CACHED = 400_000
@@ -91,15 +91,8 @@ class Automaton:
         return len(words), total
 
 
-_BUILT: dict[str, Automaton] = {}
-
-
 def automaton(content: bytes) -> Automaton:
-    key = hashlib.sha256(content).hexdigest()
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Automaton(list(parse_ranks(content)))
-    return _BUILT[key]
+    return resident(("token_count", hashlib.sha256(content).hexdigest()), lambda: Automaton(list(parse_ranks(content))))
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +110,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, *, id_col: str = "doc_id
             got = [count(x) for x in texts(b, text_col)]
             yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array([w for w, _ in got], pa.int64()), pa.array([t for _, t in got], pa.int64())], names=[id_col, "n_words", "n_tokens"])
 
-    return arrow_map(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint")
+    return arrow_map(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_words bigint, n_tokens bigint", resides=True)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

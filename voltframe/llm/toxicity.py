@@ -21,19 +21,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, held_out, read, ship, steps
+from .common import arrow_map, held_out, read, ship, steps, within
 
-MAX_PER_LABEL = 2000
+#: Documents of each label, and bytes of all their texts, that teach at most.
+MAX_PER_LABEL, MAX_BYTES = 2000, 64 << 20
 #: A word is a feature if so many sample documents have it.
 LEAST_DOCS = 5
 ROUNDS, RATE, RIDGE, BIAS = 100, 0.3, 1e-3, -7.0
-SENTENCE = re.compile(r"[^.!?\n]*[^.!?\s][^.!?\n]*")
+SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Code-point spans between full stops, question and exclamation marks and line ends."""
-    return [m.span() for m in SENTENCE.finditer(text)]
+    """Code-point spans between full stops, question and exclamation marks and line ends, but for those of white space."""
+    return [m.span() for m in SENTENCE.finditer(text) if not m.group().isspace()]
 
 
 def features(word: str) -> list[str]:
@@ -42,15 +43,20 @@ def features(word: str) -> list[str]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None, per_label: int = MAX_PER_LABEL) -> list[tuple[str, int]]:
-    """(text, label) of a bounded sample; ``learn`` says of an id whether it may teach."""
+    """(text, label) of a bounded sample; ``learn`` says of an id whether it may teach.
+
+    Only ids and sizes are gathered before ``MAX_BYTES`` is kept; rows that share an id teach together."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("__label"))
     known = known.where(learn if learn is not None else F.lit(True)).withColumn("__order", F.xxhash64(id_col))
     chosen = None
     for label in (0, 1):
         some = known.where(F.col("__label") == label).orderBy("__order", id_col).limit(per_label)
         chosen = some if chosen is None else chosen.unionAll(some)
-    # 2 * per_label rows at most
-    rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col).orderBy("__order", F.xxhash64(text_col)).select(text_col, "__label").limit(4 * per_label).collect()
+    # 2 * per_label ids at most
+    known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where("__text is not null").join(F.broadcast(chosen.withColumnRenamed(id_col, "__id")), "__id")
+    sizes = known.groupBy("__order", "__id").agg(F.sum(F.octet_length("__text")).alias("n")).orderBy("__order", "__id").collect()
+    ids = within([(r["__id"], r["n"]) for r in sizes], MAX_BYTES)
+    rows = known.where(F.col("__id").isin(ids)).orderBy("__order", F.xxhash64("__text")).select("__text", "__label").limit(4 * per_label).collect() if ids and sizes else []
     return [(r[0], int(r[1])) for r in rows]
 
 
