@@ -32,7 +32,7 @@ def test_bpe_is_tiktoken(docs, none):
 
     ranks = bpe.parse_ranks(bpe.load_ranks(RANKS))
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    got = Counter((r["n_tokens"], r["ids_sha256"], r["decoded"]) for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN, with_ids=True).collect())
+    got = Counter((r["n_tokens"], r["ids_sha256"], r["decoded"]) for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN, with_ids=True, with_text=True).collect())
     want = Counter()
     for t in TEXTS:
         ids = own.encode_ordinary(t or "")

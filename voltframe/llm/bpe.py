@@ -333,15 +333,15 @@ def coder(ranks: bytes, pattern: str) -> Coder:
     return resident(("bpe", hashlib.sha256(ranks + pattern.encode()).hexdigest()), lambda: Coder(parse_ranks(ranks), pattern))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 of each row, and with ``with_ids`` the ids and the decoded text.
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """id, n_tokens, ids_sha256, decoded_sha256 of each row, and with ``with_ids`` the ids, with ``with_text`` the decoded text.
 
     The rank file is of fixed size (under 2 MB for 50,000 tokens) and travels with the tasks.
     """
     ship(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<bigint>, decoded string" * with_ids
+    schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<bigint>" * with_ids + ", decoded string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(ranks.value, pattern)
@@ -352,8 +352,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
             decoded = [plain[i:j] for i, j in zip((plain_end - n_plain).tolist(), plain_end.tolist(), strict=True)]
             cols = [b.column(id_col), pa.array(n_ids), pa.array([hashlib.sha256(codes[i:j]).hexdigest() for i, j in zip((end - 4 * n_ids).tolist(), end.tolist(), strict=True)]), pa.array([hashlib.sha256(d).hexdigest() for d in decoded])]
             if with_ids:
-                cols += [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_ids)), pa.int32()), pa.array(ids.astype(np.int64))), pa.array([d.decode("utf-8", "replace") for d in decoded])]
-            yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])])
+                cols.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_ids)), pa.int32()), pa.array(ids.astype(np.int64))))
+            if with_text:
+                cols.append(pa.array([d.decode("utf-8", "replace") for d in decoded]))
+            yield pa.RecordBatch.from_arrays(cols, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_text])
 
     return arrow_map(docs.select(id_col, text_col), run, schema, resides=True)
 
