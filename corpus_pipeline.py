@@ -4,7 +4,7 @@
 2. near_duplicates: of each class of texts with a similarity of 0.8 or more, the row of least id stays;
 3. decontamination: rows that hold a twentieth or more of benchmark windows go;
 4. secrets: secret spans are replaced by a mark, and n_chars follows;
-5. encoding: what is left is encoded byte-level; one row for each document, with its ids' count and hashes.
+5. encoding: what is left is encoded byte-level; one row for each document, with its ids, their count and hashes.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [
@@ -45,7 +45,7 @@ STAGES = [
     ("secrets", mask_secrets),
     ("encoding", encode),
 ]
-#: SQL expresses neither the models nor the forest nor the automata; tests hold the stages against brute force.
+#: SQL expresses neither the models nor the forest nor the automata; tests hold a run against brute force.
 ORACLE_SQL = None
 
 
