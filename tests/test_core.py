@@ -98,10 +98,10 @@ def test_contingencies_and_constraints(spark):
     assert {r["branch_id"] for r in only(out) if r["contingency_id"] == "D1"} == {"L1", None}
     _, out = core.crr_contingencies(branches, at(spark, [("C", "L1", "XFMR", "OPN"), ("C", "GHOST", "odd", "OPN")], "contingency string, device_name string, device_type string, action string"))
     assert {(r["branch_id"], r["element_kind"], r["element_name"], r["is_resolved"]) for r in only(out)} == {("L1", "transformer", "L1", True), (None, "unknown", "GHOST", False)}
-    gtcs, members = core.crr_gtcs(branches, at(spark, [("G", 1500.0, "L1", "From-To", 1.0), ("G", 1500.0, "NOPE", "To-From", 0.5)], "name string, limit double, device_name string, flow_direction string, factor double"))
+    gtcs, members = core.crr_gtcs(branches, at(spark, [("G", 1500.0, "L1", "From-To", 1.0, 1), ("G", 1400.0, "NOPE", "To-From", 0.5, 2)], "name string, limit double, device_name string, flow_direction string, factor double, row_number long"), "row_number")
     assert [(r["limit_mw"], r["n_members"], r["n_unresolved"]) for r in only(gtcs)] == [(1500.0, 2, 1)] and len(only(members)) == 2
     walk = spark.createDataFrame([("North", "N")], "gtl_name string, crr_gtc_id string")
-    got = core.dam_gtcs(at(spark, [("North", "rt", 9.0), ("North", "dam", 8.0), ("Lone", "dam", 1.0)], "gtc_name string, market string, limit_mw double"), walk)
+    got = core.dam_gtcs(at(spark, [("North", "rt", 9.0, 3), ("North", "dam", 8.0, 2), ("North", "dam", 7.0, 1), ("Lone", "dam", 1.0, 1)], "gtc_name string, market string, limit_mw double, interval_start_utc long"), walk)
     assert {(r["gtc_id"], r["limit_mw"], r["crr_gtc_id"]) for r in only(got)} == {("North", 8.0, "N"), ("Lone", 1.0, None)}
 
 

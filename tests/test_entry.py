@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import voltframe.plans.report_queries  # noqa: F401
 from voltframe.plans.queries import ORACLES, QUERIES
 
 D = "/root/testdata/sf0.001"

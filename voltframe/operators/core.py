@@ -194,18 +194,18 @@ def dam_contingencies(branches: DataFrame, buses: DataFrame, raw: DataFrame) ->
     return contingencies(outages), outages
 
 
-def crr_gtcs(branches: DataFrame, raw: DataFrame, order: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Constraints and members. A constraint's limit is its first row's by ``order`` (without one, the smallest)."""
-    df = raw.select(S, F.col("name").alias("gtc_id"), F.col("device_name").alias("branch_id"), "factor", "flow_direction", F.col("device_name").alias("element_name"), "limit", *([F.col(order).alias("__o")] if order else []))
+def crr_gtcs(branches: DataFrame, raw: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """Constraints and members. A constraint's limit is its first row's by ``order``, the source row's number."""
+    df = raw.select(S, F.col("name").alias("gtc_id"), F.col("device_name").alias("branch_id"), "factor", "flow_direction", F.col("device_name").alias("element_name"), "limit", F.col(order).alias("__o"))
     members = _known(df, branches)
-    limit = F.min_by("limit", "__o") if order else F.min("limit")
+    limit = F.min_by("limit", "__o")
     gtcs = members.groupBy(S, "gtc_id").agg(limit.alias("limit_mw"), F.count("*").alias("n_members"), F.count_if(~F.col("is_resolved")).alias("n_unresolved"))
     return gtcs.withColumns({"source": F.lit("crr_csv"), "crr_gtc_id": F.col("gtc_id")}).select(GTC), members.select(MEMBER)
 
 
 def dam_gtcs(limits: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Day-ahead limits of each snapshot's hour, the latest of a name, with the auction's name from (gtl_name, crr_gtc_id); they have no members."""
-    some = limits.where("market = 'dam'").groupBy(S, F.col("gtc_name").alias("gtc_id")).agg(F.max_by("limit_mw", "interval_start_utc").alias("limit_mw") if "interval_start_utc" in limits.columns else F.last("limit_mw").alias("limit_mw"))
+    some = limits.where("market = 'dam'").groupBy(S, F.col("gtc_name").alias("gtc_id")).agg(F.max_by("limit_mw", F.struct("interval_start_utc", "limit_mw")).alias("limit_mw"))
     zero = F.lit(0).cast("long")
     return some.join(crosswalk.withColumnRenamed("gtl_name", "gtc_id"), "gtc_id", "left").withColumns({"source": F.lit("gtl_dam"), "n_members": zero, "n_unresolved": zero}).select(GTC)
 

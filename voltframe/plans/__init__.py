@@ -1,0 +1 @@
+"""Queries of the reference's operators."""

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import assembly, match
+from .operators import assembly, build, match
 from .operators.core import S
 from .operators.relational import latest, net_by_kind
 from .sources import archive, files
@@ -76,6 +76,65 @@ class Session:
         """One snapshot's rows: only its partition is read."""
         return self.core(table).where(F.col(S) == snapshot_id)
 
+    def snapshot(self, snapshot_id: str) -> dict:
+        """One model's row of the snapshots."""
+        row = self.core("snapshot").where(F.col(S) == snapshot_id).first()
+        if row is None:
+            raise KeyError(f"{snapshot_id!r} is no snapshot of this archive")
+        return row.asDict()
+
+    def newest(self) -> tuple[str, str]:
+        """The newest monthly auction model and hour 12 of the newest day, of their latest revisions."""
+        rows = self.core("snapshot")
+        crr = rows.where("model_kind = 'monthly'").agg(F.max_by(S, F.struct("month", "revision"))).first()[0]
+        dam = rows.where("model_kind = 'dam' and hour = 12").agg(F.max_by(S, F.struct("operating_date", "revision"))).first()[0]
+        if crr is None or dam is None:
+            raise ValueError("the archive lacks a monthly model or a day's hour 12")
+        return crr, dam
+
+    def hour_ids(self, day: str) -> list[str]:
+        """The latest revision of each hour of a day (25 at most)."""
+        rows = self.core("snapshot").where((F.col("model_kind") == "dam") & (F.col("operating_date") == F.lit(day).cast("date")))
+        return [r[1] for r in rows.groupBy("hour").agg(F.max_by(S, "revision")).orderBy("hour").collect()]
+
+    def raw_rows(self, table: str, snapshot_id: str) -> DataFrame:
+        """A model's rows of a raw table: those of its package, of its hour or month where the table has one."""
+        snap = self.snapshot(snapshot_id)
+        rows = self.raw(table).where((F.col("blob_sha256") == snap["blob_sha256"]) & (F.col("emil_id") == snap["emil_id"]))
+        for by in ("hour", "month"):
+            if snap[by] is not None and by in rows.columns:
+                rows = rows.where(F.col(by) == F.lit(snap[by]))
+        return rows
+
+    def latest_doc(self, documents: DataFrame) -> DataFrame:
+        """emil_id, doc_id: of each product's documents (emil_id, doc_id, posted_at) the one posted last."""
+        return latest(documents.select("emil_id", "doc_id", "posted_at"), ["emil_id"], "posted_at", "doc_id").select("emil_id", "doc_id")
+
+    def build_core(self, kind: str, limits: DataFrame | None = None, crosswalk: DataFrame | None = None, order: str = "row_number") -> list[str]:
+        """Builds the core tables of all ``dam`` or auction (``crr``) snapshots from the raw ones, and returns their names."""
+        snaps = self.core("snapshot").where(F.col("model_kind") == "dam" if kind == "dam" else F.col("model_kind") != "dam")
+        names, by = (build.DAM_RAW, "hour") if kind == "dam" else (build.CRR_RAW, "month")
+        raw = {n: build.of_snapshots(df, snaps, by) for n in names if (df := self._scan("raw", n)) is not None}
+        tables = build.dam_tables(raw, limits, crosswalk) if kind == "dam" else build.crr_tables(raw, order)
+        for name, df in tables.items():
+            self.write_core(name, df)
+        return list(tables)
+
+    # Runs and reports
+
+    def record_run(self, run_id: str, command: str, state: str, failed: int = 0) -> None:
+        """Appends a run's state; its latest one counts."""
+        row = self.spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(command).alias("command"), F.lit(state).alias("state"), F.lit(failed).alias("failed"), F.current_timestamp().alias("at"))
+        row.write.mode("append").parquet(self._path("runs"))
+
+    def runs(self) -> DataFrame:
+        rows = self.spark.read.parquet(self._path("runs"))
+        return rows.groupBy("run_id").agg(F.max_by(F.struct("command", "state", "failed", "at"), "at").alias("x")).select("run_id", "x.*")
+
+    def write_report(self, name: str, report: DataFrame, by: str = S) -> None:
+        """A report as JSON lines, a folder for each snapshot or day."""
+        report.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).json(self._path("reports", name))
+
     def query(self, sql: str, **tables: DataFrame) -> DataFrame:
         """SQL over frames under the names they are given."""
         return self.spark.sql(sql, **tables)
