@@ -37,12 +37,19 @@ LETTERS, PIECE = 24, 1 << 16
 CACHED, CACHED_LETTERS = 300_000, 8_000_000
 #: Bytes of text that are tagged at once; they bound memory, not input.
 TEXT_BYTES = 1 << 20
-#: What counts as a word character to ``re`` but is no letter: fractions, circled numbers and the like.
-NUMERALS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+#: Runs of letters and of numerals that are no decimal digits (fractions, circled numbers and the like).
+WORD = re.compile(r"[^\W\d_]+")
 KINDS = 7  # lexicon, three beginnings, three ends; then n-grams
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters."""
+    runs = WORD.findall(text)
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for r in runs for w in ([r] if r.isalpha() else "".join(c if c.isalpha() else " " for c in r).split())]
+
+
 def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Weight numbers of each word's features, and which of them exist; n-grams only of words of up to ``LETTERS`` letters."""
     n = len(words)
@@ -215,7 +222,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 1) -> Model:
     rng = np.random.default_rng(seed)
     pieces: list[tuple[int, list[str]]] = []
     for i, label in enumerate(labels):
-        words = [[w.lower() for w in WORD.findall(x)] for x, y in rows if y == label]
+        words = [[w.lower() for w in words_of(x)] for x, y in rows if y == label]
         flat = list(chain.from_iterable(words))[:MAX_WORDS]
         at = 0
         while at < len(flat):
@@ -290,7 +297,7 @@ class Tagger:
         """Also each word's share of its text's mass: 1, and 1 more for every further ``LETTERS`` letters or part of them."""
         if len(self.known) > CACHED or self.letters > CACHED_LETTERS:
             self._reset()
-        cut = [WORD.findall(x.lower()) for x in batch]
+        cut = [words_of(x.lower()) for x in batch]
         lengths = np.fromiter(map(len, cut), np.int64, len(cut))
         new = sorted({w for x in cut for w in x if w not in self.known})
         if new:
