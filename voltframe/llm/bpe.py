@@ -28,9 +28,9 @@ from .common import arrow_map, ranges, read, resident, ship, steps, texts
 #: A query over short words keeps the rows of all turns: at most so many words, and so many by the sum of their squared
 #: lengths. Words of more than LONG bytes are encoded with one row a byte, so many bytes (or one word) a query. A worker's
 #: cache of words starts anew at so many bytes. All of these only bound memory.
-WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 12_000, 1_200_000, 64, 1 << 20, 40 << 20
+WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 12_000, 1_200_000, 64, 1 << 20, 32 << 20
 #: Bytes of text that are encoded at once.
-TEXT_BYTES = 3 << 20
+TEXT_BYTES = 2 << 20
 
 #: White space beyond ASCII.
 WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
