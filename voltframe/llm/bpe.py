@@ -31,6 +31,8 @@ from .common import arrow_map, ranges, read, resident, ship, steps, texts
 WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 12_000, 1_200_000, 64, 1 << 20, 32 << 20
 #: Bytes of text that are encoded at once.
 TEXT_BYTES = 2 << 20
+#: DuckDB's memory in a worker, and while it encodes words of more than LONG bytes.
+MEMORY, LONG_MEMORY = "120MB", "400MB"
 
 #: White space beyond ASCII.
 WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -118,7 +120,7 @@ class Coder:
 
         spill = tempfile.mkdtemp(prefix="bpe-")
         weakref.finalize(self, shutil.rmtree, spill, ignore_errors=True)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "120MB", "temp_directory": spill})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": spill})
         self.split = regex.compile(pattern).findall
         pairs = [(ranks[t[:i]] << 32 | ranks[t[i:]], r << 32, max(ranks[x] if len(x) > 1 else -1 for x in (t[:i], t[i:])) > r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         table = np.array(pairs, np.int64).reshape(-1, 3)
@@ -175,7 +177,9 @@ class Coder:
         low, high = zip(*map(self._reach, raw), strict=True)
         start = wp & ~4294967295
         self._table("reach", wp=wp, low=start + np.concatenate(low), high=start + np.concatenate(high))
+        self.db.execute(f"SET memory_limit = '{LONG_MEMORY}'")
         out = self.db.execute(ENCODE_LONG).fetchnumpy()
+        self.db.execute(f"SET memory_limit = '{MEMORY}'")
         word, place, tok = (np.asarray(out[c]) for c in ("word", "place", "tok"))
         again = np.unique(word[tok == -2])
         if len(again):
