@@ -1,8 +1,9 @@
-"""Components of large snapshots, whose edges aren't gathered, and queries over every edge, against union-find."""
+"""Components of large snapshots, whose edges aren't gathered, and queries over every edge, against a walk from each end."""
 
 import random
 
 import pyarrow.parquet as pq
+import pytest
 
 from voltframe.operators import graph
 from voltframe.plans.queries import QUERIES
@@ -10,19 +11,38 @@ from voltframe.plans.queries import QUERIES
 D = "/root/testdata/sf0.001"
 
 
-def test_stars_are_union_find(spark):
+def walked(edges):
+    """Each end's smallest reachable end."""
+    beside = {}
+    for a, b in edges:
+        beside.setdefault(a, set()).add(b)
+        beside.setdefault(b, set()).add(a)
+    found = {}
+    for least in sorted(beside):
+        todo = [] if least in found else [least]
+        while todo:
+            x = todo.pop()
+            if x not in found:
+                found[x] = least
+                todo += beside[x]
+    return found
+
+
+@pytest.mark.parametrize("gathered", [10, graph.GATHERED])
+def test_components_are_what_a_walk_reaches(spark, gathered):
     rng = random.Random(4)
     edges = [(s, f"n{rng.randrange(m):03d}", f"n{rng.randrange(m):03d}") for s, m, n in (("x", 300, 200), ("y", 40, 3), ("z", 100, 400)) for _ in range(n)]
     edges += [("p", f"n{i:03d}", f"n{i + 1:03d}") for i in range(150)] + [("x", None, "n000"), (None, "n000", "n001")]
     nodes = [(s, f"n{i:03d}") for s in "xyzp" for i in range(310)]
-    df = graph.components(spark.createDataFrame(nodes, "s string, n string"), spark.createDataFrame(edges, "s string, a string, b string"), "n", "a", "b", "s", gathered=10)
+    df = graph.components(spark.createDataFrame(nodes, "s string, n string"), spark.createDataFrame(edges, "s string, a string, b string"), "n", "a", "b", "s", gathered=gathered)
     plan = df._jdf.queryExecution().analyzed().toString()
     want = {}
     for s in "xyzp":
-        found = graph.smallest_of_component(*zip(*[(a, b) for t, a, b in edges if t == s and a], strict=True))
+        found = walked([(a, b) for t, a, b in edges if t == s and a and b])
         want |= {(s, n): found.get(n, n) for t, n in nodes if t == s}
     got = [(r["s"], r["n"], r["component"]) for r in df.collect()]
-    assert len(got) == len(nodes) and {g[:2]: g[2] for g in got} == want and "LogicalRDD" in plan
+    assert len(got) == len(nodes) and {g[:2]: g[2] for g in got} == want
+    assert ("Relation [" in plan) == (gathered == 10)  # spread edges are in written tables
 
 
 def test_every_edge_counts(spark):
@@ -32,5 +52,5 @@ def test_every_edge_counts(spark):
     for r in li:
         if r["l_orderkey"] in customer:
             ends.setdefault(r["l_returnflag"], []).append((customer[r["l_orderkey"]] * 2, r["l_suppkey"] * 2 + 1))
-    want = {(s, n, c) for s, e in ends.items() for n, c in graph.smallest_of_component(*zip(*e, strict=True)).items()}
+    want = {(s, n, c) for s, e in ends.items() for n, c in walked(e).items()}
     assert {tuple(r) for r in QUERIES["whole_connected_components"](spark, D).select("snap", "node", "component").collect()} == want
