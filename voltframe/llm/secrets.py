@@ -87,7 +87,8 @@ def ratio(token: Column, model: list[float]) -> Column:
 SPANS = "array<struct<s: int, kind: int, e: int>>"
 #: Hits that one step of a running sum takes; sums over steps come first, so that no array grows by one for each hit.
 CHUNK = 256
-#: What may stand for a masked character (none of any pattern's): the first that the text doesn't have.
+#: What may stand for a masked character (none of any pattern's): the first that the text doesn't have, or, where it has
+#: all of these, the first character from U+10000 on that it doesn't have.
 BLANKS = "\u0000\u0001\u0002\u0003\ue000\ue001\ue002\ue003"
 
 
@@ -109,6 +110,11 @@ def _found(pieces: Column, hits: Column, kind: int) -> Column:
     return F.flatten(F.zip_with(chunks, F.slice(starts, 1, F.size(chunks)), spans))
 
 
+def _long(hits: Column, least: int) -> Column:
+    """Whether each match has ``least`` characters (a lambda of two parameters would get the match's place as the second)."""
+    return F.transform(hits, lambda x: F.length(x) >= least)
+
+
 def _masked(text: Column, blank: Column, regex: str, hits: Column, wanted: Column) -> Column:
     """``text`` with the wanted matches blanked, length kept."""
     pieces = F.split(text, regex, -1)
@@ -116,6 +122,13 @@ def _masked(text: Column, blank: Column, regex: str, hits: Column, wanted: Colum
     return F.array_join(F.zip_with(pieces, out, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), "")
 
 
+def _blank(text: Column) -> Column:
+    usual = F.get(F.filter(F.array(*[F.lit(x) for x in BLANKS]), lambda x: ~text.contains(x)), F.lit(0))
+    own = F.array_distinct(F.split(text, ""))
+    others = F.transform(F.sequence(F.lit(0x10000), F.least(F.lit(0x10000) + F.size(own), F.lit(0x10FFFF))), lambda i: F.decode(F.unhex(F.lpad(F.hex(i), 8, "0")), "UTF-32"))
+    return F.coalesce(usual, F.get(F.array_except(others, own), F.lit(0)))
+
+
 def _names(docs: DataFrame) -> dict[str, str]:
     """Names of the scan's own columns that none of ``docs`` has."""
     return {k: unused(docs, f"__{k}") for k in ("spans", "text", "named", "runs", "values", "blank", "assign", "access", "hex", "n_base", "masked", "tokens", "secret")}
@@ -135,14 +148,13 @@ def _scanned(docs: DataFrame, model: list[float] | None, text_col: str, c: dict[
     df = docs.withColumn(c["text"], F.coalesce(F.col(text_col), F.lit("")))
     low = F.lower(t)
     named = low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api_key") | low.contains("apikey")
-    blanks = F.array(*[F.lit(x) for x in BLANKS])
-    df = df.withColumns({c["blank"]: F.coalesce(F.get(F.filter(blanks, lambda x: ~t.contains(x)), F.lit(0)), F.lit(BLANKS[0])), c["named"]: named, c["runs"]: F.size(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))) > 0})
+    df = df.withColumns({c["blank"]: _blank(t), c["named"]: named, c["runs"]: F.size(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))) > 0})
 
     def hits(regex: str, might: Column, group: int = 0) -> Column:
         return F.when(might, F.regexp_extract_all(t, F.lit(regex), F.lit(group))).otherwise(strings)
 
     df = df.withColumns({c["assign"]: hits(ASSIGN, F.col(c["named"])), c["values"]: hits(ASSIGN, F.col(c["named"]), 2), c["access"]: hits(ACCESS, t.contains("AKIA")), c["hex"]: hits(HEX, F.col(c["runs"]))})
-    wanted = {"assign": F.transform(c["values"], lambda v: F.length(v) >= 8), "access": F.transform(c["access"], lambda k: F.length(k) >= 16), "hex": F.transform(c["hex"], lambda k: F.lit(True))}
+    wanted = {"assign": _long(F.col(c["values"]), 8), "access": _long(F.col(c["access"]), 16), "hex": F.transform(c["hex"], lambda k: F.lit(True))}
 
     def base(name: str, regex: str, kind: int) -> Column:
         fine = F.filter(F.zip_with(_found(F.split(t, regex, -1), F.col(c[name]), kind), wanted[name], lambda x, w: F.when(w, x)), lambda x: x.isNotNull())
@@ -154,7 +166,7 @@ def _scanned(docs: DataFrame, model: list[float] | None, text_col: str, c: dict[
     m = F.col(c["masked"])
     for kind, regex, least in (("access", ACCESS, 16), ("hex", HEX, 32)):
         again = F.regexp_extract_all(m, F.lit(regex), F.lit(0))
-        df = df.withColumn(c["masked"], F.when(F.size(c[kind]) > 0, _masked(m, F.col(c["blank"]), regex, again, F.transform(again, lambda x, n=least: F.length(x) >= n))).otherwise(m))
+        df = df.withColumn(c["masked"], F.when(F.size(c[kind]) > 0, _masked(m, F.col(c["blank"]), regex, again, _long(again, least))).otherwise(m))
     df = df.withColumn(c["tokens"], F.when(F.col(c["runs"]), F.regexp_extract_all(m, F.lit(TOKEN), F.lit(0))).otherwise(strings))
     df = df.withColumn(c["secret"], F.transform(c["tokens"], lambda x: ratio(x, model) > MARGIN))
     judged = F.filter(F.zip_with(_found(F.split(m, TOKEN, -1), F.col(c["tokens"]), 3), F.col(c["secret"]), lambda x, w: F.when(w, x)), lambda x: x.isNotNull())
