@@ -19,6 +19,9 @@ MODULES = {
     "op8_ngram_join": "ngram_join",
     "op9_substring_dedup": "substring_dedup",
     "op10_token_counts": "token_count",
+    "op11_word_bpe": "word_bpe",
+    "op12_ranked_search": "ranked_search",
+    "op13_prefix_trie": "prefix_trie",
 }
 
 
@@ -27,6 +30,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import topk
+    from . import prefix_trie, ranked_search, topk
 
-    return {"op5_topk": topk.ORACLE}
+    return {"op5_topk": topk.ORACLE, "op12_ranked_search": ranked_search.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
