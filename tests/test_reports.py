@@ -26,7 +26,7 @@ def dense(n, f, t, y, slack):
     return out
 
 
-def test_banded_against_dense():
+def test_system_against_dense():
     rng = np.random.default_rng(1)
     n = 60
     f = np.append(np.arange(n - 1), rng.integers(0, n, 40))
@@ -47,7 +47,7 @@ def test_banded_against_dense():
 def test_cases(spark):
     rows = [("s", 0, 0, 1), ("s", 1, 1, 2), ("s", 2, 2, 0), ("s", 3, 2, 3)]
     lines = spark.createDataFrame([(*r, 0.1, None, 1) for r in rows], "snapshot_id string, branch_index long, from_index long, to_index long, x_pu double, tap_ratio double, slack_index long")
-    asked = spark.createDataFrame([("s", "none", [], [], [0]), ("s", "tail", [3], [], [0, 3]), ("s", "split", [], [(1, "to")], [0, 1]), ("s", "both", [], [(1, "to"), (3, "from")], [])], "snapshot_id string, contingency string, out array<long>, splits array<struct<branch_index: long, end: string>>, wanted array<long>")
+    asked = spark.createDataFrame([("s", "none", [], [], [0]), ("s", "tail", [3], [], [0, 3]), ("s", "split", [], [(1, "to")], [0, 1]), ("s", "both", [], [(1, "to"), (3, "from")], [])], "snapshot_id string, contingency string, out array<long>, splits array<struct<branch_index: long, split_end: string>>, wanted array<long>")
     got = {(r["contingency"], r["branch_index"]): r for r in dc.cases(lines, asked, parts=3).collect()}
     assert got["none", 0]["factors"] == pytest.approx([2 / 3, 0, 1 / 3, 1 / 3], abs=1e-6)
     assert got["tail", 0]["cut"] == [3] and got["tail", 0]["n_islanded"] == 1 and got["tail", 3]["factors"] == [0, 0, 0, 0]

@@ -41,6 +41,14 @@ class Network:
         at = self.slacks.join(self.buses.select(S, F.col("bus_id").alias("slack"), F.col("bus_index").alias("slack_index")), [S, "slack"]).select(S, "slack_index")
         return self.branches.join(at, S).select(S, "branch_index", "from_index", "to_index", "x_pu", "tap_ratio", "slack_index")
 
+    def cases(self) -> DataFrame:
+        """Contingencies as ``dc`` and ``hours`` take them."""
+        return self.contingencies.where("not is_empty").select(S, F.col("contingency_id").alias("contingency"), F.col("branch_indexes").alias("out"), "splits")
+
+    def weights(self) -> DataFrame:
+        """Points' weights as ``reports`` and ``hours`` take them."""
+        return self.point_buses.select(S, F.col("settlement_point_id").alias("point"), "bus_index", "weight")
+
     def summary(self) -> DataFrame:
         """snapshot_id, name, n: rows of each part."""
         parts = ("buses", "branches", "contingencies", "gtc_members", "point_buses", "dropped_buses", "dropped_branches")

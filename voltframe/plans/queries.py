@@ -375,32 +375,39 @@ def json_field(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("total"))
 
 
-def triangle(spark: SparkSession) -> DataFrame:
-    """Buses 0 to 2 in a ring, bus 3 hanging on bus 2, all x = 0.1, slack 1."""
+def triangle(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Buses 0 to 2 in a ring, bus 3 hanging on bus 2, slack 1, for each row of (snapshot_id, x_pu), the reactance of all."""
     ship(spark)
-    rows = [("t", 0, 0, 1), ("t", 1, 1, 2), ("t", 2, 2, 0), ("t", 3, 2, 3)]
-    return spark.createDataFrame([(*r, 0.1, None, 1) for r in rows], "snapshot_id string, branch_index long, from_index long, to_index long, x_pu double, tap_ratio double, slack_index long")
+    ends = F.array(*[F.struct(F.lit(j).cast("long").alias("branch_index"), F.lit(a).cast("long").alias("from_index"), F.lit(b).cast("long").alias("to_index")) for j, (a, b) in enumerate([(0, 1), (1, 2), (2, 0), (2, 3)])])
+    return rows.select("snapshot_id", "x_pu", F.explode(ends).alias("e")).select("snapshot_id", "e.*", "x_pu", F.lit(None).cast("double").alias("tap_ratio"), F.lit(1).cast("long").alias("slack_index"))
+
+
+def triangles(spark, sf_dir) -> DataFrame:
+    """One for each supplier."""
+    return triangle(spark, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("snapshot_id"), ((F.col("s_suppkey") % 7 + 1) / 10.0).alias("x_pu")))
 
 
 def _factors(rows: list[list[float]]) -> str:
-    values = ", ".join(f"('t', {m}, {b}, {v!r}::DOUBLE)" for m, r in enumerate(rows) for b, v in enumerate(r))
-    return f"SELECT snapshot_id, CAST(branch_index AS BIGINT) AS branch_index, CAST(bus_index AS BIGINT) AS bus_index, round(factor, 9) AS factor FROM (VALUES {values}) v(snapshot_id, branch_index, bus_index, factor)"
+    values = ", ".join(f"({m}, {b}, {v!r}::DOUBLE)" for m, r in enumerate(rows) for b, v in enumerate(r))
+    return f"SELECT CAST(s_suppkey AS VARCHAR) AS snapshot_id, CAST(branch_index AS BIGINT) AS branch_index, CAST(bus_index AS BIGINT) AS bus_index, round(factor, 9) AS factor FROM supplier, (VALUES {values}) v(branch_index, bus_index, factor)"
 
 
 @query(_factors([[2 / 3, 0.0, 1 / 3, 1 / 3], [-1 / 3, 0.0, -2 / 3, -2 / 3], [-1 / 3, 0.0, 1 / 3, 1 / 3], [0.0, 0.0, 0.0, -1.0]]))
 def dc_shift_factors(spark, sf_dir):
-    return dc.shift_factors(triangle(spark))
+    return dc.shift_factors(triangles(spark, sf_dir))
 
 
 @query(_factors([[1.0, 0.0, 0.0, 0.0], [0.0, 0.0, -1.0, -1.0], [0.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, -1.0]]))
 def dc_outage(spark, sf_dir):
-    return dc.shift_factors(triangle(spark), outage=2)
+    return dc.shift_factors(triangles(spark, sf_dir), outage=2)
 
 
-@query("SELECT 't' AS snapshot_id, CAST(m AS BIGINT) AS branch_index, round(f, 9) AS flow_mw FROM (VALUES (0, 50.0::DOUBLE), (1, -10.0), (2, -40.0), (3, 30.0)) v(m, f)")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS snapshot_id, CAST(m AS BIGINT) AS branch_index, round(s_acctbal * f, 4) + 0.0 AS flow_mw FROM supplier, (VALUES (0, 5/9::DOUBLE), (1, -1/9::DOUBLE), (2, -4/9::DOUBLE), (3, 3/9::DOUBLE)) v(m, f)")
 def dc_flows(spark, sf_dir):
-    q = spark.createDataFrame([("t", 0, 90.0), ("t", 3, -30.0)], "snapshot_id string, bus_index long, mw double")
-    return dc.flows(triangle(spark), q)
+    """A supplier's balance goes in at bus 0, a third of it out at bus 3."""
+    s = table(spark, sf_dir, "supplier")
+    q = s.select(F.col("s_suppkey").cast("string").alias("snapshot_id"), F.explode(F.array(F.struct(F.lit(0).cast("long").alias("bus_index"), F.col("s_acctbal").alias("mw")), F.struct(F.lit(3).cast("long").alias("bus_index"), (-F.col("s_acctbal") / 3).alias("mw")))).alias("q"))
+    return dc.flows(triangles(spark, sf_dir), q.select("snapshot_id", "q.*")).withColumn("flow_mw", money(F.col("flow_mw"), 4) + 0.0)
 
 
 @query("""WITH sf AS (SELECT * FROM (VALUES (0, 0, 2/3::DOUBLE), (0, 1, 0.0), (0, 2, 1/3::DOUBLE), (0, 3, 1/3::DOUBLE)) v(m, bus, factor)),
@@ -411,7 +418,8 @@ def price_identity(spark, sf_dir):
 
     w = table(spark, sf_dir, "nation").select(F.lit("t").alias("snapshot_id"), F.col("n_nationkey").cast("long").alias("point"), (F.col("n_nationkey") % 4).cast("long").alias("bus_index"), F.lit(1.0).alias("weight"))
     mu = spark.createDataFrame([("t", 0, 1, 12.0, 25.0)], "snapshot_id string, branch_index long, sign int, shadow_price double, system_price double")
-    return node_prices(w, dc.shift_factors(triangle(spark)), mu).select("point", money(F.col("price"), 6).alias("price"))
+    ring = table(spark, sf_dir, "nation").limit(1).select(F.lit("t").alias("snapshot_id"), F.lit(0.1).alias("x_pu"))
+    return node_prices(w, dc.shift_factors(triangle(spark, ring)), mu).select("point", money(F.col("price"), 6).alias("price"))
 
 
 @query("""WITH p AS (SELECT o_orderpriority AS emil_id, CAST(o_orderkey AS VARCHAR) AS blob, o_orderdate AS posted, CASE o_orderstatus WHEN 'F' THEN 'dam' WHEN 'O' THEN 'monthly' ELSE 'annual' END AS kind, CAST(o_orderdate AS DATE) AS d, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(year(o_orderdate) AS VARCHAR) AS term, CAST(quarter(o_orderdate) AS BIGINT) AS seq FROM orders),

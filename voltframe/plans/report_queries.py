@@ -264,7 +264,7 @@ def ring_outages(spark, sf_dir):
     """One branch of a ring out leaves a chain; two out cut off what lies between."""
     parts = parts_in_order(spark, sf_dir)
     half, last = F.expr("n div 2").cast("long"), (F.col("n") - 1).cast("long")
-    none = F.expr("cast(array() as array<struct<branch_index: long, end: string>>)")
+    none = F.expr("cast(array() as array<struct<branch_index: long, split_end: string>>)")
     asked = parts.select(S, "n").distinct().select(S, F.explode(F.array(F.struct(F.lit("one").alias("contingency"), F.array(last).alias("out")), F.struct(F.lit("two").alias("contingency"), F.array(last, half).alias("out")))).alias("c"))
     asked = asked.select(S, "c.*", none.alias("splits"), F.array(F.lit(0).cast("long")).alias("wanted"))
     return dc.cases(lines(parts, ring=True), asked, parts=2).select(S, "contingency", "n_islanded", F.size(F.filter("factors", lambda x: F.abs(x) > 1e-6)).cast("long").alias("n_moving"))
