@@ -2,26 +2,95 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from heapq import heapify, heappop, heappush
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workers import discard, shared
 from .core import S
-
-
-def spread_labels(labels: DataFrame, links: DataFrame, most: int = 200) -> DataFrame:
-    """node, label: labels (node, label) handed on over links (a, b) to nodes without one, a link a round, the least of several, until none is left to reach."""
-    both = shared(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct())
-    known = shared(labels.groupBy("node").agg(F.min("label").alias("label")))
-    front = known
-    for _ in range(most):
-        met = both.join(front, F.col("a") == F.col("node")).groupBy("b").agg(F.min("label").alias("label")).select(F.col("b").alias("node"), "label")
-        front = shared(met.join(known, "node", "left_anti"))
-        if front.isEmpty():
-            break
-        before, known = known, shared(known.unionAll(front))
-        discard(before)
-    return known
+from .graph import components
+
+
+#: Links that one task follows labels over.
+FOLLOWED = 100_000
+
+
+def nearest(a: pd.Series, b: pd.Series, given: list[tuple]) -> dict:
+    """node: (links away, label), the least of such pairs that ``given`` (node, links away, label) hand on over links."""
+    near = defaultdict(list)
+    for u, v in zip(a.tolist(), b.tolist(), strict=True):
+        near[u].append(v)
+        near[v].append(u)
+    best: dict = {}
+    queue = [(far, label, node) for node, far, label in given]
+    heapify(queue)
+    while queue:
+        far, label, node = heappop(queue)
+        if node not in best:
+            best[node] = far, label
+            for v in near[node]:
+                if v not in best:
+                    heappush(queue, (far + 1, label, v))
+    return best
+
+
+def spread_labels(labels: DataFrame, links: DataFrame, followed: int = FOLLOWED) -> DataFrame:
+    """node, label: each node has the label (node, label) that is the fewest links (a, b) away, the least of several; nodes that no label reaches aren't listed.
+
+    Links are dealt out by connected parts. A part with one label has that label. In others labels are followed within one
+    task, or, in a part of more than ``followed`` links, in ranges of its nodes: each range follows what reaches it
+    to its edges, and ranges tell each other until nothing gets nearer. So the rounds are those in which a nearest way
+    crosses ranges, not its links, and there is no last round but the one that changes nothing.
+    """
+    known = shared(labels.where("node is not null and label is not null").groupBy("node").agg(F.min("label").alias("label")))
+    ways = shared(links.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("by", F.lit(0)))
+    nodes = ways.select("by", F.col("a").alias("node")).unionAll(ways.select("by", "b"))
+    part = shared(components(nodes, ways, "node", "a", "b", "by", followed).select("node", "component"))
+    at = known.join(part, "node")
+    state = ways.join(part.withColumnRenamed("node", "a"), "a").groupBy("component").agg(F.count("*").alias("n_links")).join(at.groupBy("component").agg(F.min("label").alias("only"), F.max("label").alias("other")), "component")
+    state = shared(state)
+    single = part.join(state.where("only = other").select("component", F.col("only").alias("label")), "component").select("node", "label")
+    alone = known.join(part, "node", "left_anti")
+    several = state.where("only <> other").select("component", "n_links")
+    mixed = ways.join(part.withColumnRenamed("node", "a"), "a").join(several, "component").select("component", "n_links", "a", "b")
+    key, label = (df.schema[c].dataType.simpleString() for df, c in ((part, "node"), (known, "label")))
+    group = part.schema["component"].dataType.simpleString()
+
+    def follow(key: tuple, way: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        best = nearest(way["a"], way["b"], list(zip(given["node"], given["far"], given["label"], strict=True)))
+        return pd.DataFrame([(n, d, x) for n, (d, x) in best.items()], columns=["node", "far", "label"])
+
+    schema = f"node {key}, far long, label {label}"
+    small = mixed.where(F.col("n_links") <= followed).groupBy("component")
+    given = at.join(several.where(F.col("n_links") <= followed), "component").select("component", "node", F.lit(0).cast("long").alias("far"), "label")
+    found = small.cogroup(given.withColumnRenamed("component", "__c").groupBy("__c")).applyInPandas(follow, schema).select("node", "label")
+    out = single.unionAll(alone).unionAll(found)
+    large = shared(mixed.where(F.col("n_links") > followed))
+    n_large = large.count()
+    if n_large:
+        out = out.unionAll(_followed_in_ranges(large, at, -(-n_large // followed), schema, follow))
+    return out.select(F.col("node").cast(key), "label")
+
+
+def _followed_in_ranges(ways: DataFrame, at: DataFrame, ranges: int, schema: str, follow) -> DataFrame:
+    """The part of ``spread_labels`` for parts of many links; a link belongs to the range of its lesser node."""
+    dealt = shared(ways.repartitionByRange(ranges, "component", "a").select("a", "b", F.spark_partition_id().alias("range")))
+    touched = shared(dealt.select("range", F.col("a").alias("node")).unionAll(dealt.select("range", F.col("b").alias("node"))).distinct())
+    best = shared(at.join(touched.select("node").distinct(), "node", "left_semi").select("node", F.lit(0).cast("long").alias("far"), "label"))
+    while True:
+        given = best.join(touched, "node").select(F.col("range").alias("__r"), "node", "far", "label")
+        met = dealt.groupBy("range").cogroup(given.groupBy("__r")).applyInPandas(follow, schema)
+        least = F.min(F.struct("far", "label")).alias("x")
+        now = shared(met.unionByName(best).groupBy("node").agg(least).select("node", "x.far", "x.label"))
+        was = best.withColumnsRenamed({"far": "__f", "label": "__l"})
+        done = now.join(was, "node", "left").where("__f is null or __f <> far or __l <> label").isEmpty()
+        discard(best)
+        best = now
+        if done:
+            return best.select("node", "label")
 
 
 def other_ends(labels: DataFrame, lines: DataFrame) -> DataFrame:
@@ -41,16 +110,20 @@ def other_ends(labels: DataFrame, lines: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.min("label").alias("label")).join(labels, "node", "left_anti")
 
 
-def substations(nodes: DataFrame, inside: DataFrame, lines: DataFrame, most: int = 50) -> DataFrame:
+def substations(nodes: DataFrame, inside: DataFrame, lines: DataFrame) -> DataFrame:
     """node, label: substations of auction nodes from those that a match gives (``nodes``), over equipment within one (``inside``: a, b),
-    then along matched lines (a, b, sa, sb), in turn until neither adds any."""
-    known = spread_labels(nodes, inside)
-    for _ in range(most):
+    then along matched lines (a, b, sa, sb), in turn until neither adds any: a turn for each matched line that a label has to cross."""
+    known = shared(spread_labels(nodes, inside))
+    while True:
         more = shared(other_ends(known, lines))
         if more.isEmpty():
-            break
-        known = spread_labels(known.unionAll(more), inside)
-    return known
+            return known
+        # what is labelled stays as it is: new labels spread over what is left of the equipment
+        left = inside
+        for end in ("a", "b"):
+            left = left.join(known.select(F.col("node").alias(end)), end, "left_anti")
+        before, known = known, shared(known.unionByName(spread_labels(more, left)))
+        discard(before, more)
 
 
 def _list(df: DataFrame, by: list[str], order: Column | str, name: str, *columns: str) -> DataFrame:
