@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from .operators import assembly, build, match
 from .operators.core import S
 from .operators.relational import latest, net_by_kind
-from .sources import archive, files
+from .sources import archive, files, layouts, packages
 from .workers import ship
 
+#: What stands for a table where all of a package were built at once.
+EVERY = "*"
 ARTIFACT = "artifact_key string, emil_id string, blob_sha256 string, table string, version string"
 
 
@@ -61,8 +64,31 @@ class Session:
         archive.write(parse(some), self._path("raw", table), ["emil_id", "blob_sha256"])
         self.spark.read.schema(ARTIFACT).parquet(planned).write.mode("append").parquet(self._path("artifacts"))
 
+    def build_packages(self, emil_id: str, version: str) -> int:
+        """Parses all members of a product's packages that this version hasn't done yet, all tables in one job; returns how many. If the job fails, nothing is recorded."""
+        members = archive.scan(self.spark, self._path("members")).where(F.col("emil_id") == emil_id)
+        todo = archive.pending(members.select("emil_id", "blob_sha256").distinct(), self.artifacts(), version, EVERY)
+        done = todo.select("artifact_key", "emil_id", "blob_sha256", F.lit(EVERY).alias("table"), F.lit(version).alias("version"))
+        planned = self._path("_planned", emil_id)
+        done.write.mode("overwrite").parquet(planned)
+        done = self.spark.read.schema(ARTIFACT).parquet(planned)
+        n = done.count()
+        if n:
+            some = members.join(done, ["emil_id", "blob_sha256"], "left_semi")
+            archive.write(packages.parsed(some, layouts.PRODUCTS[emil_id]), self._path("rows"), ["emil_id", "table", "blob_sha256"])
+            done.write.mode("append").parquet(self._path("artifacts"))
+        return n
+
     def raw(self, table: str) -> DataFrame:
-        return archive.scan(self.spark, self._path("raw", table))
+        """A table of all packages: one that was built by itself, or what ``build_packages`` has of it, of all products of its families."""
+        if (own := self._scan("raw", table)) is not None:
+            return own
+        rows = self._scan("rows")
+        families = {f: [e for e, x in layouts.PRODUCTS.items() if x == f] for f in layouts.families_of(table)}
+        if rows is None or not families:
+            raise KeyError(f"{table!r} isn't built")
+        found = [packages.typed(rows.where(F.col("emil_id").isin(products)), table, f) for f, products in families.items()]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
     # Core tables
 

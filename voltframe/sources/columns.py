@@ -20,10 +20,11 @@ class SourceError(ValueError):
 class Field:
     header: str
     kind: str = "s"
+    called: str | None = None
 
     @property
     def name(self) -> str:
-        return snake_case(self.header)
+        return self.called or snake_case(self.header)
 
 
 def fields(*declared: str) -> tuple[Field, ...]:
