@@ -50,3 +50,9 @@ def test_ranks_in_any_order():
         rng.shuffle(extra)
         ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate(extra)}
         check(bpe.Coder(ranks, public_tokenizers.PATTERN), encoding(ranks), [" ".join("".join(rng.choices("abc", k=rng.randint(65, 150))) for _ in range(20))])
+
+
+def test_words_of_millions_of_bytes(coder):
+    """Cut where no token lies across, they need no more memory than short ones."""
+    rng = random.Random(4)
+    check(coder, encoding(RANKS), ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(700_000)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_500_000))])

@@ -2,12 +2,13 @@
 
 The merge table holds every (left id, right id) whose joined bytes are a token, with that token's id as rank. A
 recursive query takes token-position rows of many distinct words at once; each turn joins neighbours with the merge
-table and contracts each word's leftmost pair of least rank, in long words all pairs that the order of ranks is sure
-to contract, and goes on with the words that changed. A second query decodes: the ids' bytes, aggregated in the order
+table and contracts each word's leftmost pair of least rank, and goes on with the words that changed. Long words are cut first where no
+token could lie across; of parts that stay long, a turn contracts all pairs that the order of ranks is sure to contract. A second query decodes: the ids' bytes, aggregated in the order
 of their positions. Each distinct word is encoded once for a worker's cache, which is bounded in bytes; texts are then
 concatenations. No row ever moves between executors.
 
-Null and empty texts give no ids, the hash of nothing, and empty bytes. A long word of n bytes takes n rows, whatever its turns.
+Null and empty texts give no ids, the hash of nothing, and empty bytes. A long part of n bytes takes n rows, whatever its turns: 400 MB
+of a worker's memory up to about a million bytes, and 450 bytes for each byte beyond.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .common import arrow_map, ranges, read, resident, ship, steps, texts
 WORDS, SQUARES, LONG, LONG_BYTES, CACHED = 12_000, 1_200_000, 64, 1 << 20, 32 << 20
 #: Bytes of text that are encoded at once.
 TEXT_BYTES = 2 << 20
-#: DuckDB's memory in a worker, and while it encodes words of more than LONG bytes.
-MEMORY, LONG_MEMORY = "120MB", "400MB"
+#: DuckDB's memory in a worker, its MB while it encodes parts of more than LONG bytes, and what a byte of a part of over a million bytes takes.
+MEMORY, LONG_MEMORY, LONG_ROW = "120MB", 400, 450
 
 #: White space beyond ASCII.
 WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -152,20 +153,38 @@ class Coder:
                 e += 1
         return low[:-1], high
 
-    def _init(self, words: list[str]) -> tuple[list[bytes], np.ndarray]:
-        raw = [w.encode() for w in words]
+    def _init(self, raw: list[bytes]) -> np.ndarray:
         data, n = np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
         place = np.arange(len(data), dtype=np.int64) - np.repeat(np.cumsum(n) - n, n)
         wp = np.repeat(np.arange(len(raw), dtype=np.int64) << 32, n) | place
         self._table("init", wp=wp, tok=self.single[data])
-        return raw, wp
+        return wp
 
-    def _encode_words(self, words: list[str]) -> None:
-        raw, _ = self._init(words)
+    def _encode_words(self, keys: list, raw: list[bytes], into: "Coded") -> None:
+        self._init(raw)
         out = self.db.execute(ENCODE).fetchnumpy()
-        self._keep(words, np.asarray(out["word"]), np.asarray(out["place"]), np.asarray(out["tok"]))
+        self._keep(into, keys, np.asarray(out["word"]), np.asarray(out["place"]), np.asarray(out["tok"]))
+
+    def _cut(self, raw: bytes) -> list[bytes]:
+        """A word's parts between places that no token of the vocabulary could lie across: no contraction crosses them."""
+        _, high = self._reach(raw)
+        ends = np.flatnonzero(np.maximum.accumulate(high) == np.arange(1, len(raw) + 1)) + 1
+        return [raw[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def _encode_cut(self, words: list[str]) -> None:
+        """Words of more than LONG bytes, by their parts; only parts that are long themselves need the steps for long words."""
+        parts, found = [self._cut(w.encode()) for w in words], Coded()
+        todo = list({x for p in parts for x in p})
+        for far, encode in ((False, self._encode_words), (True, self._encode_long)):
+            some = [(x, len(x)) for x in todo if (len(x) > LONG) == far]
+            for part in _parts(some, WORDS, LONG_BYTES if far else SQUARES, 1 if far else 2):
+                encode(part, part, found)
+        for w, p in zip(words, parts, strict=True):
+            number = np.fromiter(map(found.number.__getitem__, p), np.int64, len(p))
+            ids, plain = (x.of(number)[0] for x in found.parts)
+            self.words.add([w], ids, np.array([len(ids)]), plain, np.array([len(plain)]))
 
-    def _encode_long(self, words: list[str]) -> None:
+    def _encode_long(self, keys: list, raw: list[bytes], into: "Coded") -> None:
         """A turn joins every pair that no pair of lower rank can come before.
 
         A neighbour can take a part of a pair only by a token that ends where the left part does, or begins where the
@@ -173,11 +192,11 @@ class Coder:
         too, whatever happens elsewhere; of a run of overlapping pairs of one rank it's every other. This holds as long
         as joining makes no pair of lower rank; a word where one turns up is encoded anew, a pair a turn.
         """
-        raw, wp = self._init(words)
+        wp = self._init(raw)
         low, high = zip(*map(self._reach, raw), strict=True)
         start = wp & ~4294967295
         self._table("reach", wp=wp, low=start + np.concatenate(low), high=start + np.concatenate(high))
-        self.db.execute(f"SET memory_limit = '{LONG_MEMORY}'")
+        self.db.execute(f"SET memory_limit = '{max(LONG_MEMORY, LONG_ROW * max(map(len, raw)) >> 20)}MB'")
         out = self.db.execute(ENCODE_LONG).fetchnumpy()
         self.db.execute(f"SET memory_limit = '{MEMORY}'")
         word, place, tok = (np.asarray(out[c]) for c in ("word", "place", "tok"))
@@ -189,14 +208,14 @@ class Coder:
             word, place, tok = (np.concatenate([x[keep], np.asarray(more[c])]) for x, c in ((word, "word"), (place, "place"), (tok, "tok")))
             order = np.lexsort((place, word))
             word, place, tok = word[order], place[order], tok[order]
-        self._keep(words, word, place, tok)
+        self._keep(into, keys, word, place, tok)
 
-    def _keep(self, words: list[str], word: np.ndarray, place: np.ndarray, tok: np.ndarray) -> None:
+    def _keep(self, into: "Coded", words: list, word: np.ndarray, place: np.ndarray, tok: np.ndarray) -> None:
         ids = tok.astype(np.int64)
         self._table("coded", wp=word << 32 | place, tok=ids)
         plain = bytes.fromhex(self.db.execute(DECODE).fetchall()[0][0])
         size = np.bincount(word, self.sizes[ids], len(words)).astype(np.int64)
-        self.words.add(words, ids.astype(np.uint32), np.bincount(word, minlength=len(words)), np.frombuffer(plain, np.uint8), size)
+        into.add(words, ids.astype(np.uint32), np.bincount(word, minlength=len(words)), np.frombuffer(plain, np.uint8), size)
 
     def _matches(self, pieces: list[bytes]) -> tuple[list[str], np.ndarray]:
         """The pattern's matches in each piece, one after the other, and how many each has.
@@ -245,10 +264,10 @@ class Coder:
         known = self.words.number
         todo = list({w for w in words if w not in known})
         size = [len(w.encode()) for w in todo]
-        for far, encode in ((False, self._encode_words), (True, self._encode_long)):
-            some = [(w, n) for w, n in zip(todo, size, strict=True) if (n > LONG) == far]
-            for part in _parts(some, WORDS, LONG_BYTES if far else SQUARES, 1 if far else 2):
-                encode(part)
+        for part in _parts([x for x in zip(todo, size, strict=True) if x[1] <= LONG], WORDS, SQUARES, 2):
+            self._encode_words(part, [w.encode() for w in part], self.words)
+        for part in _parts([x for x in zip(todo, size, strict=True) if x[1] > LONG], WORDS, LONG_BYTES, 1):
+            self._encode_cut(part)
         number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         owner, code = np.repeat(np.arange(len(count)), count), pieces.indices.to_numpy()
         doc, out = np.searchsorted(end, at, side="right"), []
@@ -263,7 +282,7 @@ class Coded:
     """Strings, with the ids and decoded bytes of each, in arrays that grow."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        self.number: dict = {}
         self.parts: tuple[Ragged, Ragged] = Ragged(np.uint32), Ragged(np.uint8)
 
     @property
@@ -271,7 +290,7 @@ class Coded:
         """Bytes that it takes, about: a string and its entry take some 150."""
         return 150 * len(self.number) + sum(x.values.nbytes + 2 * x.start.nbytes for x in self.parts)
 
-    def add(self, keys: list[str], ids: np.ndarray, n_ids: np.ndarray, text: np.ndarray, n_text: np.ndarray) -> None:
+    def add(self, keys: list, ids: np.ndarray, n_ids: np.ndarray, text: np.ndarray, n_text: np.ndarray) -> None:
         at = len(self.number)
         self.number.update(zip(keys, range(at, at + len(keys)), strict=True))
         self.parts[0].add(ids, n_ids)

@@ -47,14 +47,13 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", name: str = "__row") -> Dat
 
 
 def within(sizes: list[tuple], most: int) -> list:
-    """The first of (key, size) pairs whose sizes come to ``most`` at most; one at least."""
+    """Of (key, size) pairs, in their order, each that still fits in ``most`` with those before it; the smallest, if none does."""
     out, total = [], 0
     for key, size in sizes:
-        total += size
-        if out and total > most:
-            break
-        out.append(key)
-    return out
+        if total + size <= most:
+            total += size
+            out.append(key)
+    return out or [key for key, _ in sorted(sizes, key=lambda x: x[1])[:1]]
 
 
 def unused(df: DataFrame, name: str) -> str:

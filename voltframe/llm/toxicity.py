@@ -45,7 +45,8 @@ def features(word: str) -> list[str]:
 def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None, per_label: int = MAX_PER_LABEL) -> list[tuple[str, int]]:
     """(text, label) of a bounded sample; ``learn`` says of an id whether it may teach.
 
-    Only ids and sizes are gathered before ``MAX_BYTES`` is kept; rows that share an id teach together."""
+    Only ids and sizes are gathered before ``MAX_BYTES`` is kept, half of it for each label; texts that don't fit are passed over. Rows that
+    share an id teach together."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("__label"))
     known = known.where(learn if learn is not None else F.lit(True)).withColumn("__order", F.xxhash64(id_col))
     chosen = None
@@ -54,8 +55,8 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
         chosen = some if chosen is None else chosen.unionAll(some)
     # 2 * per_label ids at most
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where("__text is not null").join(F.broadcast(chosen.withColumnRenamed(id_col, "__id")), "__id")
-    sizes = known.groupBy("__order", "__id").agg(F.sum(F.octet_length("__text")).alias("n")).orderBy("__order", "__id").collect()
-    ids = within([(r["__id"], r["n"]) for r in sizes], MAX_BYTES)
+    sizes = known.groupBy("__order", "__id").agg(F.sum(F.octet_length("__text")).alias("n"), F.max("__label").alias("label")).orderBy("__order", "__id").collect()
+    ids = [i for label in (0, 1) for i in within([(r["__id"], r["n"]) for r in sizes if r["label"] == label], MAX_BYTES // 2)]
     rows = known.where(F.col("__id").isin(ids)).orderBy("__order", F.xxhash64("__text")).select("__text", "__label").limit(4 * per_label).collect() if ids and sizes else []
     return [(r[0], int(r[1])) for r in rows]
 
