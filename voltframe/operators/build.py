@@ -12,6 +12,8 @@ from .core import S
 # The raw tables that a model's core tables are made of.
 DAM_RAW = ("psse_bus", "psse_branch", "psse_transformer", "psse_load", "dam_lines", "dam_transformers", "dam_generators", "dam_loads", "dam_settlement_points", "dam_hub_buses", "dam_contingencies")
 CRR_RAW = ("psse_bus", "psse_branch", "psse_transformer", "psse_load", "crr_mapping_autos", "crr_mapping_lines", "crr_sources_and_sinks", "crr_monitored_lines_and_transformers", "crr_contingencies", "crr_non_thermal_constraints")
+#: In the order that awards take them.
+AWARD_RAW = ("dam_60d_gen_resource_data", "dam_60d_esr_data", "dam_60d_energy_only_offer_awards", "dam_60d_energy_bid_awards", "dam_60d_ptp_obligation_bid_awards", "dam_60d_ptp_obligation_option_awards")
 
 
 class MissingTables(ValueError):

@@ -42,6 +42,15 @@ def union(parts: list[DataFrame]) -> DataFrame:
 # Buses
 
 
+def empty(spark, table: str) -> DataFrame:
+    """A core table that a kind of model doesn't have: hourly models have no nodes and their constraints no members."""
+    known = {"node": NODE, "gtc_member": MEMBER}
+    if table not in known:
+        raise KeyError(f"the core table {table!r} isn't built")
+    types = dict.fromkeys(("kv", "factor"), "double") | dict.fromkeys(("node_number", "node_type"), "bigint")
+    return spark.createDataFrame([], ", ".join(f"`{c}` {types.get(c, 'boolean' if c.startswith('is_') else 'string')}" for c in known[table]))
+
+
 def labels(parts: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
     """snapshot_id, number, label of what is attached to each number: (frame, kind letter, number column, name column)."""
     some = [df.select(S, F.col(n).cast("long").alias("number"), F.concat(F.lit(f"{k}:"), F.upper(F.trim(name))).alias("label")) for df, k, n, name in parts]

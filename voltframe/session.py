@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import assembly, build, match
+from .operators import assembly, build, core, match
 from .operators.core import S
 from .operators.relational import latest, net_by_kind
 from .sources import archive, files, layouts, packages
@@ -79,12 +79,12 @@ class Session:
             done.write.mode("append").parquet(self._path("artifacts"))
         return n
 
-    def raw(self, table: str) -> DataFrame:
-        """A table of all packages: one that was built by itself, or what ``build_packages`` has of it, of all products of its families."""
+    def raw(self, table: str, family: str | None = None) -> DataFrame:
+        """A table of all packages: one that was built by itself, or what ``build_packages`` has of it, of all products of its families (or of one)."""
         if (own := self._scan("raw", table)) is not None:
             return own
         rows = self._scan("rows")
-        families = {f: [e for e, x in layouts.PRODUCTS.items() if x == f] for f in layouts.families_of(table)}
+        families = {f: [e for e, x in layouts.PRODUCTS.items() if x == f] for f in layouts.families_of(table) if family in (None, f)}
         if rows is None or not families:
             raise KeyError(f"{table!r} isn't built")
         found = [packages.typed(rows.where(F.col("emil_id").isin(products)), table, f) for f, products in families.items()]
@@ -96,7 +96,8 @@ class Session:
         archive.write(df, self._path("core", table), [S])
 
     def core(self, table: str) -> DataFrame:
-        return archive.scan(self.spark, self._path("core", table)).withColumn(S, F.col(S).cast("string"))
+        df = archive.scan(self.spark, self._path("core", table))
+        return df.withColumn(S, F.col(S).cast("string")) if S in df.columns else df
 
     def core_rows(self, table: str, snapshot_id: str) -> DataFrame:
         """One snapshot's rows: only its partition is read."""
@@ -136,16 +137,65 @@ class Session:
         """emil_id, doc_id: of each product's documents (emil_id, doc_id, posted_at) the one posted last."""
         return latest(documents.select("emil_id", "doc_id", "posted_at"), ["emil_id"], "posted_at", "doc_id").select("emil_id", "doc_id")
 
+    def build_snapshots(self, documents: DataFrame | None = None) -> None:
+        """The table of snapshots: a model for each hour or month that a network-model package has a network of. ``documents`` (blob_sha256, doc_id, posted_at) say when
+        packages were posted; without them, postings of one model are numbered in the order of their digests."""
+        found = []
+        for family in ("dam_model", "crr_model"):
+            names = [(n, k) for n, k, _ in layouts.FAMILIES[family][2]]
+            try:
+                bus = self.raw("psse_bus", family).select("emil_id", "blob_sha256", *[n for n, _ in names]).distinct()
+            except KeyError:
+                continue
+            own = {n: F.col(n) for n, _ in names}
+            kind = F.lit("dam") if family == "dam_model" else F.col("auction")
+            found.append(bus.select("emil_id", "blob_sha256", kind.alias("kind"), *[own.get(n, F.lit(None).cast(k)).alias(n) for n, k in (("operating_date", "date"), ("hour", "bigint"), ("month", "date"), ("term", "string"), ("sequence", "bigint"))]))
+        if not found:
+            raise KeyError("no package with a network model is built")
+        by = ["emil_id", "blob_sha256", "kind", "operating_date", "term", "sequence"]
+        some = reduce(DataFrame.unionByName, found).groupBy(*by).agg(F.collect_set("hour").alias("hours"), F.collect_set("month").alias("months"))
+        if documents is None:
+            some = some.withColumns({"doc_id": F.lit(None).cast("string"), "posted_at": F.lit(None).cast("timestamp")})
+        else:
+            some = some.join(documents.select("blob_sha256", "doc_id", "posted_at").dropDuplicates(["blob_sha256"]), "blob_sha256", "left")
+        self.write_core("snapshot", core.snapshots(some))
+
+    def _limits(self, snaps: DataFrame) -> DataFrame:
+        """Limits of each hourly snapshot's hour, from the latest workbook of its day."""
+        rows = self._scan("raw", "gtl_hourly")
+        if rows is None:
+            return self.spark.createDataFrame([], f"{S} string, market string, gtc_name string, limit_mw double, interval_start_utc timestamp")
+        return build.latest_by_day(rows).join(snaps.select(S, "interval_start_utc"), "interval_start_utc")
+
     def build_core(self, kind: str, limits: DataFrame | None = None, crosswalk: DataFrame | None = None, order: str = "row_number") -> list[str]:
-        """Builds the core tables of all ``dam`` or auction (``crr``) snapshots from the raw ones, and returns their names."""
+        """Builds the core tables of all ``dam`` or auction (``crr``) snapshots from the raw ones, and returns their names.
+
+        ``limits``: snapshot_id, market, gtc_name, limit_mw, interval_start_utc, by default those of the archive's workbooks; ``crosswalk``: gtl_name, crr_gtc_id,
+        by default none. Raw tables that aren't built are an error.
+        """
         snaps = self.core("snapshot").where(F.col("model_kind") == "dam" if kind == "dam" else F.col("model_kind") != "dam")
-        names, by = (build.DAM_RAW, "hour") if kind == "dam" else (build.CRR_RAW, "month")
-        raw = {n: build.of_snapshots(df, snaps, by) for n in names if (df := self._scan("raw", n)) is not None}
-        tables = build.dam_tables(raw, limits, crosswalk) if kind == "dam" else build.crr_tables(raw, order)
+        names, by, family = (build.DAM_RAW, "hour", "dam_model") if kind == "dam" else (build.CRR_RAW, "month", "crr_model")
+        raw = {}
+        for n in names:
+            try:
+                raw[n] = build.of_snapshots(self.raw(n, family), snaps, by)
+            except KeyError:
+                continue
+        if kind == "dam":
+            none = self.spark.createDataFrame([], "gtl_name string, crr_gtc_id string")
+            tables = build.dam_tables(raw, self._limits(snaps) if limits is None else limits, none if crosswalk is None else crosswalk)
+        else:
+            tables = build.crr_tables(raw, order)
         for name, df in tables.items():
             self.write_core(name, df)
         return list(tables)
 
+    def build_awards(self, disclosure: str = "NP3-966-ER") -> None:
+        """Hourly signed awards of all disclosure packages, a partition for each."""
+        found = [self.raw(t).withColumn("doc_id", F.col("blob_sha256")) for t in build.AWARD_RAW]
+        rows = core.hourly_awards(*found).withColumn("emil_id", F.lit(disclosure)).withColumnRenamed("doc_id", "blob_sha256")
+        archive.write(rows, self._path("core", "hourly_award"), ["blob_sha256"])
+
     # Runs and reports
 
     def record_run(self, run_id: str, command: str, state: str, failed: int = 0) -> None:
@@ -205,7 +255,7 @@ class Session:
         """Networks of the named snapshots, or of all."""
 
         def rows(table: str) -> DataFrame:
-            df = self.core(table)
+            df = self.core(table) if self._scan("core", table) is not None else core.empty(self.spark, table)
             return df if snapshot_ids is None else df.where(F.col(S).isin(snapshot_ids))
 
         return assembly.build_network(*[rows(t) for t in ("bus", "node", "branch", "branch_rating", "contingency_outage", "gtc_member", "settlement_point_bus")], options)
