@@ -64,8 +64,10 @@ def test_from_zip_bytes_to_residuals(spark, tmp_path):
         assert s.build_packages(emil, "1") == 1
     s.build_snapshots()
     assert s.hour_ids("2026-01-02") == ["dam:2026-01-02:he01:r1", "dam:2026-01-02:he02:r1"]
-    assert set(s.build_core("dam")) >= {"bus", "branch", "contingency_outage", "settlement_point_bus"}
+    assert set(s.build_core("dam", run_id="r")) >= {"bus", "branch", "contingency_outage", "settlement_point_bus"}
     s.build_awards()
+    seen = {r["measure"]: r["value"] for r in s.measures("r").collect()}
+    assert (seen["TOP-07.buses"], seen["TOP-06.swing"], seen["RAT-08.secured"], seen["TOP-13.outages"], seen["SP-07.nodes"], seen["SP-03.weight"]) == (8, 2, 8, 4, 8, 8)
 
     net = s.network()
     assert {(r["branch_id"], r["branch_index"]) for r in net.branches.collect()} == {(b, k) for _ in (1, 2) for k, b in enumerate(("L12", "L13", "L23", "L34"))}

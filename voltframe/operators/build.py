@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import name_key
@@ -100,3 +100,31 @@ def same_names(a: DataFrame, b: DataFrame, left: str, right: str) -> DataFrame:
     plain = theirs.select(name_key(F.col("__y")).alias("__k")).distinct().withColumn("__alike", F.lit(True))
     df = mine.join(theirs, F.col("__x") == F.col("__y"), "left").join(plain, "__k", "left")
     return df.groupBy(F.when(F.col("__y").isNotNull(), "exact").when(F.col("__alike"), "normalized").otherwise("none").alias("how")).agg(F.count("*").alias("n"))
+
+
+def revisions(rows: DataFrame, model: str, revision: str, entity: str, *attributes: str) -> DataFrame:
+    """model, revision, kept, changed, new, gone: entities of each revision of a model against those of the one before it.
+
+    An entity is kept if the set of its attributes' rows is the same, in whatever order and however often they are written. ``gone`` are those
+    that the revision before had. The first revision of a model isn't listed. All consecutive revisions are compared in one window by entity.
+    """
+    order = Window.partitionBy(model).orderBy(revision)
+    index = rows.select(model, revision).where(F.col(revision).isNotNull()).distinct().withColumns({"__i": F.row_number().over(order), "__next": F.lead(revision).over(order)})
+    each = rows.select(model, revision, entity, *attributes).where(F.col(entity).isNotNull()).distinct()
+    digest = F.xxhash64(*attributes) if attributes else F.lit(0).cast("bigint")
+    sets = each.groupBy(model, revision, entity).agg(F.count("*").alias("__n"), F.bit_xor(digest).alias("__x"), F.sum(F.pmod(F.xxhash64(digest, F.lit(7)), F.lit(1 << 40))).alias("__s"))
+    w = Window.partitionBy(model, entity).orderBy("__i")
+    state = F.struct("__n", "__x", "__s")
+    df = sets.join(index, [model, revision]).withColumns({"__before": F.lag("__i").over(w), "__was": F.lag(state).over(w), "__after": F.lead("__i").over(w)})
+    met = F.coalesce(F.col("__before") == F.col("__i") - 1, F.lit(False))
+    here = df.where("__i > 1").select(model, revision, F.when(~met, "new").when(F.col("__was") == state, "kept").otherwise("changed").alias("what"))
+    lost = df.where(F.col("__next").isNotNull() & (F.col("__after").isNull() | (F.col("__after") > F.col("__i") + 1))).select(model, F.col("__next").alias(revision), F.lit("gone").alias("what"))
+    count = here.unionByName(lost).groupBy(model, revision).agg(*[F.count_if(F.col("what") == k).alias(k) for k in ("kept", "changed", "new", "gone")])
+    every = index.where("__i > 1").select(model, revision)
+    return every.join(count, [model, revision], "left").fillna(0, ["kept", "changed", "new", "gone"])
+
+
+def unique_names(rows: DataFrame, model: str, revision: str, name: str) -> DataFrame:
+    """Rows whose name no other row of their revision has: names that can tell one thing from another."""
+    w = Window.partitionBy(model, revision, name)
+    return rows.where(F.col(name).isNotNull()).withColumn("__same", F.count("*").over(w)).where("__same = 1").drop("__same")

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import assembly, build, core, match
+from .operators import assembly, build, core, match, measures
 from .operators.core import S
 from .operators.relational import latest, net_by_kind
 from .sources import archive, files, layouts, packages
@@ -92,8 +92,18 @@ class Session:
 
     # Core tables
 
-    def write_core(self, table: str, df: DataFrame) -> None:
-        archive.write(df, self._path("core", table), [S])
+    def write_core(self, table: str, df: DataFrame, run_id: str | None = None) -> None:
+        """Writes a core table; with a run's id, what the register measures of it is kept as rows of that run."""
+        seen = measures.Observed(df, measures.MEASURES.get(table, {}) if run_id else {})
+        archive.write(seen.frame, self._path("core", table), [S])
+        if found := seen.rows():
+            rows = self.spark.createDataFrame([(run_id, table, name, value) for name, value in found], "run_id string, table string, measure string, value double")
+            rows.write.mode("append").parquet(self._path("measures"))
+
+    def measures(self, run_id: str | None = None) -> DataFrame:
+        """run_id, table, measure, value of all runs, or of one."""
+        rows = self.spark.read.parquet(self._path("measures"))
+        return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
     def core(self, table: str) -> DataFrame:
         df = archive.scan(self.spark, self._path("core", table))
@@ -167,7 +177,7 @@ class Session:
             return self.spark.createDataFrame([], f"{S} string, market string, gtc_name string, limit_mw double, interval_start_utc timestamp")
         return build.latest_by_day(rows).join(snaps.select(S, "interval_start_utc"), "interval_start_utc")
 
-    def build_core(self, kind: str, limits: DataFrame | None = None, crosswalk: DataFrame | None = None, order: str = "row_number") -> list[str]:
+    def build_core(self, kind: str, limits: DataFrame | None = None, crosswalk: DataFrame | None = None, order: str = "row_number", run_id: str | None = None) -> list[str]:
         """Builds the core tables of all ``dam`` or auction (``crr``) snapshots from the raw ones, and returns their names.
 
         ``limits``: snapshot_id, market, gtc_name, limit_mw, interval_start_utc, by default those of the archive's workbooks; ``crosswalk``: gtl_name, crr_gtc_id,
@@ -187,7 +197,7 @@ class Session:
         else:
             tables = build.crr_tables(raw, order)
         for name, df in tables.items():
-            self.write_core(name, df)
+            self.write_core(name, df, run_id)
         return list(tables)
 
     def build_awards(self, disclosure: str = "NP3-966-ER") -> None:
