@@ -77,3 +77,6 @@ def test_observed_measures(spark, tmp_path):
     seen.frame.write.parquet(str(tmp_path / "bus"))
     assert seen.rows() == [("TOP-06.swing", 3.0), ("TOP-07.ambiguous", 25.0), ("TOP-07.buses", 100.0)]
     assert measures.Observed(df, {}).rows() == []
+    none = measures.Observed(df.where("id < 0"), measures.MEASURES["bus"])
+    none.frame.repartition("id").write.parquet(str(tmp_path / "none"))
+    assert none.rows() == [("TOP-06.swing", 0.0), ("TOP-07.ambiguous", 0.0), ("TOP-07.buses", 0.0)]

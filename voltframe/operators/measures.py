@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -30,9 +33,29 @@ class Observed:
     """A frame that tells its measures once it has been written."""
 
     def __init__(self, df: DataFrame, measures: dict[str, str]):
+        self._df = df
+        self._names = {name: None if m.startswith("=") else 0.0 for name, m in measures.items()}
         self._seen = Observation() if measures else None
         self.frame = df.observe(self._seen, *aggregates(measures)) if measures else df
 
-    def rows(self) -> list[tuple[str, float | None]]:
-        """(name, value) in the order of the names; waits for the write."""
-        return sorted(self._seen.get.items()) if self._seen else []
+    def rows(self, wait: float = 3.0) -> list[tuple[str, float | None]]:
+        """(name, value) in the order of the names, after the write. Spark may drop what observes a frame that turns out empty, and then tells nothing:
+        if no word has come after ``wait`` seconds, an empty frame's counts are 0. Measures that no word comes of after a minute more are an error."""
+        if not self._names:
+            return []
+        told: list[dict] = []
+
+        def listen() -> None:
+            try:
+                told.append(self._seen.get)
+            except Py4JJavaError:  # a row without fields
+                pass
+
+        ear = threading.Thread(target=listen, daemon=True)
+        ear.start()
+        ear.join(wait)
+        if not told and not self._df.isEmpty():
+            ear.join(60)
+            if not told:
+                raise TimeoutError("the frame was written, but Spark told no measures")
+        return sorted((self._names | (told[0] if told else {})).items())

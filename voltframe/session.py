@@ -95,7 +95,7 @@ class Session:
     def write_core(self, table: str, df: DataFrame, run_id: str | None = None) -> None:
         """Writes a core table; with a run's id, what the register measures of it is kept as rows of that run."""
         seen = measures.Observed(df, measures.MEASURES.get(table, {}) if run_id else {})
-        archive.write(seen.frame, self._path("core", table), [S])
+        archive.write(seen.frame, self._path("core", table), [S], [c for c in df.columns if c != S and df.schema[c].dataType.typeName() not in ("map", "variant")])
         if found := seen.rows():
             rows = self.spark.createDataFrame([(run_id, table, name, value) for name, value in found], "run_id string, table string, measure string, value double")
             rows.write.mode("append").parquet(self._path("measures"))

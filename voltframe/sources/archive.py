@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-def write(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replaces the partitions that the rows belong to and no others; a failed job leaves them as they were."""
-    writer = df.repartition(*by).write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+
+def write(df: DataFrame, path: str, by: list[str], order: list[str] | None = None) -> None:
+    """Replaces the partitions that the rows belong to and no others; a failed job leaves them as they were. With ``order``, a partition's rows are in
+    that order, nulls last, so that the same rows give the same file."""
+    rows = df.repartition(*by)
+    if order:
+        rows = rows.sortWithinPartitions(*by, *[F.col(c).asc_nulls_last() for c in order])
+    writer = rows.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(path)
 
 
