@@ -8,6 +8,7 @@ from test_packages import csv_of, row_of
 
 from voltframe.operators import checks, hours
 from voltframe.session import Session
+from voltframe.workers import shared
 
 S = "snapshot_id"
 SHOWN = {1: "ONE", 2: "TWO", 3: "THREE", 4: "FOUR"}
@@ -69,15 +70,17 @@ def test_from_zip_bytes_to_residuals(spark, tmp_path):
     seen = {r["measure"]: r["value"] for r in s.measures("r").collect()}
     assert (seen["TOP-07.buses"], seen["TOP-06.swing"], seen["RAT-08.secured"], seen["TOP-13.outages"], seen["SP-07.nodes"], seen["SP-03.weight"]) == (8, 2, 8, 4, 8, 8)
 
-    net = s.network()
+    net = s.network().written()
     assert {(r["branch_id"], r["branch_index"]) for r in net.branches.collect()} == {(b, k) for _ in (1, 2) for k, b in enumerate(("L12", "L13", "L23", "L34"))}
     snaps = s.core("snapshot").select(S, "interval_start_utc")
     hour = lambda table: checks.hour_rows(s.raw(table).withColumns({"posted_at": F.lit(None).cast("timestamp"), "doc_id": F.col("blob_sha256")})).join(snaps, "interval_start_utc")
     shown = hour("dam_shadow_prices").select(S, F.col("row_number").cast("string").alias("row"), "constraint_name", "contingency_name", "from_station", "to_station", "from_station_kv", "to_station_kv", F.col("shadow_price"), F.col("constraint_value").alias("published_mw"), F.col("constraint_limit").alias("limit_mw"))
     gtcs = spark.createDataFrame([], f"{S} string, gtc_id string, n_missing long")
     binding = checks.binding(shown, net, s.core("bus"), gtcs).withColumns({"contingency": F.col("contingency_name"), "members": F.lit(None).cast(hours.MEMBERS)})
+    binding = shared(binding)
     injections = s.core("hourly_award").join(snaps, "interval_start_utc").join(net.weights(), [S]).where("settlement_point = point").groupBy(S, "bus_index").agg(F.sum(F.col("mw") * F.col("weight")).alias("mw"))
-    solved = hours.solve(net.solver_rows(), net.cases(), binding, net.weights(), injections).cache()
+    solved = hours.solve(net.solver_rows(), net.cases(), binding, net.weights(), injections)
+    solved = shared(solved)
 
     outcomes = {r["constraint_name"]: r["outcome"] for r in hours.outcomes(binding, solved).collect()}
     assert outcomes == {"L13": "used_contingency", "L34": "constraint_is_outaged_by_its_contingency", "L23": "used_base_case"}

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from dataclasses import fields as dataclass_fields
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workers import shared
 from .core import S, none, union
 from .graph import main_component
 from .network import dense_index, limits, signed_factor, slack
@@ -41,6 +43,10 @@ class Network:
         at = self.slacks.join(self.buses.select(S, F.col("bus_id").alias("slack"), F.col("bus_index").alias("slack_index")), [S, "slack"]).select(S, "slack_index")
         return self.branches.join(at, S).select(S, "branch_index", "from_index", "to_index", "x_pu", "tap_ratio", "slack_index")
 
+    def written(self) -> "Network":
+        """The same, each part written once to the shared folder: what is made of a network doesn't assemble it again."""
+        return Network(*[shared(getattr(self, f.name)) for f in dataclass_fields(self)])
+
     def cases(self) -> DataFrame:
         """Contingencies as ``dc`` and ``hours`` take them."""
         return self.contingencies.where("not is_empty").select(S, F.col("contingency_id").alias("contingency"), F.col("branch_indexes").alias("out"), "splits")
