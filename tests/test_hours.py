@@ -89,3 +89,17 @@ def test_from_core_tables_to_residuals(spark):
 
 
 S_ = "snapshot_id"
+
+
+def test_flows_halfway_between_roundings(spark):
+    # in a network of 25 buses that are all linked a branch carries a 25th of what its ends' injections differ by
+    pairs = [(a, b) for a in range(25) for b in range(a + 1, 25)]
+    lines = spark.createDataFrame([("s", j, a, b, 0.1, 1.0, 0) for j, (a, b) in enumerate(pairs)], "snapshot_id string, branch_index long, from_index long, to_index long, x_pu double, tap_ratio double, slack_index long")
+    j = pairs.index((18, 21))
+    binding = spark.createDataFrame([("s", f"{sign}/{u}", f"L{u}" if u else None, j, sign, None, 1.0, published, 1000.0, "used_contingency" if u else "used_base_case") for sign, u, published in ((1, 0, 1338.0), (-1, 0, -71.9031), (1, 2, 144.0))], f"snapshot_id string, row string, contingency string, branch_index long, sign int, members {hours.MEMBERS}, shadow_price double, published_mw double, limit_mw double, outcome string")
+    known = spark.createDataFrame([("s", "L2", [pairs.index((2, 12))], [])], f"snapshot_id string, contingency string, out array<long>, splits {hours.SPLITS}")
+    weights = spark.createDataFrame([], "snapshot_id string, point string, bus_index long, weight double")
+    injections = spark.createDataFrame([("s", 18, 12542.01867), ("s", 21, 9494.43117), *[("s", b, 1000.0 / (b + 1)) for b in range(18)]], "snapshot_id string, bus_index long, mw double")
+    got = {r["row"]: r for r in hours.hour_flows(binding, hours.solve(lines, known, binding, weights, injections)).collect()}
+    assert {k: (r["flow_mw"], r["difference"]) for k, r in got.items()} == {"1/0": (121.9035, -1216.0965), "-1/0": (-121.9035, -50.0004), "1/2": (121.9035, -22.0965)}
+    assert got["-1/0"]["within_5_percent"] and not got["-1/0"]["is_opposite"]

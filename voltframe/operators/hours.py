@@ -94,7 +94,8 @@ class _Case:
 def _one(system, c: _Case, solved: dict, q: np.ndarray, names: list[str], rows: np.ndarray, at: np.ndarray, weight: np.ndarray) -> tuple:
     case = outaged(system, c, solved)
     new = np.setdiff1d(case.cut, system.cut)
-    factors = case.factors(c.wanted, solved) if c.wanted else np.zeros((0, system.n))
+    # 13 digits: what is zero or a short decimal is so exactly, and flows that lie halfway between two roundings stay there
+    factors = np.round(case.factors(c.wanted, solved), 13) + 0.0 if c.wanted else np.zeros((0, system.n))
     fine = not c.wanted or case.residual <= UNMET
     number = {j: k for k, j in enumerate(c.wanted)}
     cost, found = np.zeros(system.n), []
@@ -102,7 +103,7 @@ def _one(system, c: _Case, solved: dict, q: np.ndarray, names: list[str], rows:
         own = [(number[int(m["branch_index"])], m["factor"]) for m in r["members"]]
         lost = bool(c.contingency) and any(not case.connected[b] for m in r["members"] for b in case.ends(int(m["branch_index"])))
         vector = sum((f * factors[k] for k, f in own), np.zeros(system.n))
-        found.append({"row": r["row"], "flow_mw": float(vector @ q), "is_lost": lost, "shadow_price": r["shadow_price"]})
+        found.append({"row": r["row"], "flow_mw": round(float(vector @ q), 9) + 0.0, "is_lost": lost, "shadow_price": r["shadow_price"]})
         if not lost:
             cost += r["shadow_price"] * vector
     points = []
@@ -147,10 +148,11 @@ def hour_prices(prices: DataFrame, solved: DataFrame, weights: DataFrame, system
 
 
 def hour_flows(binding: DataFrame, solved: DataFrame) -> DataFrame:
-    """``binding`` (with published_mw and limit_mw) of rows that were applied and have a published flow, with our flow and how far apart they are."""
+    """``binding`` (with published_mw and limit_mw) of rows that were applied and have a published flow, with our flow and how far apart they are; limits hold to a kilowatt."""
     df = outcomes(binding, solved).where("flow_mw is not null and published_mw is not null")
-    diff = F.col("flow_mw") - F.col("published_mw")
-    return df.withColumns({"difference": diff, "within_1_mw": F.abs(diff) <= 1, "within_5_percent": F.coalesce(F.abs(diff) <= 0.05 * F.abs("limit_mw"), F.lit(False)), "is_opposite": F.signum("flow_mw") != F.signum("published_mw")})
+    diff = F.round(F.col("flow_mw") - F.col("published_mw"), 9)
+    apart = F.abs(F.round(diff, 3))
+    return df.withColumns({"difference": diff, "within_1_mw": apart <= 1, "within_5_percent": F.coalesce(apart <= 0.05 * F.abs("limit_mw"), F.lit(False)), "is_opposite": F.signum("flow_mw") != F.signum("published_mw")})
 
 
 def base_flows(solved: DataFrame) -> DataFrame:
