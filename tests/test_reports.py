@@ -145,3 +145,15 @@ def test_session_helpers(spark, tmp_path):
     assert [(r["run_id"], r["state"], r["failed"]) for r in s.runs().collect()] == [("r1", "done", 2)]
     s.write_report("prices", snaps.select(S, "revision"))
     assert spark.read.json(f"{tmp_path}/reports/prices").count() == 5
+
+
+def test_an_outage_set_of_many_contingencies_is_listed_once(spark):
+    lines = spark.createDataFrame([("s", f"P{j}", j, False) for j in range(6)], "snapshot_id string, branch_id string, branch_index long, is_name_reversed boolean")
+    rows = spark.createDataFrame([("s", f"P{j}", "From", c) for j in range(7) for c in ("A", "B", "C", None)], "snapshot_id string, device_name string, direction string, contingency string")
+    sets, none = {1: [0, 2], 2: [5]}, spark.createDataFrame([], "snapshot_id string, gtc_id string")
+    ctg = [("s", c, k, sets[k], n, 0, False) for c, k, n in (("A", 1, 0), ("B", 1, 1), ("C", 2, 0))]
+    ctg = spark.createDataFrame(ctg, "snapshot_id string, contingency_id string, outage_set long, branch_indexes array<long>, n_lost int, n_splits int, is_empty boolean")
+    members = spark.createDataFrame([("s", k, j) for k, x in sets.items() for j in [*x, x[0]]], "snapshot_id string, outage_set long, branch_index long")
+    listed = reports.block_binding(rows, lines, ctg.drop("outage_set"), none).collect()
+    apart = reports.block_binding(rows, lines, ctg.drop("branch_indexes"), none, members).collect()
+    assert sorted(map(repr, apart)) == sorted(map(repr, listed)) and sum(r["outcome"] == "device_is_outaged_by_its_contingency" for r in apart) == 5

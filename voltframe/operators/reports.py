@@ -136,25 +136,32 @@ def balance_summary(balance: DataFrame) -> DataFrame:
 # Binding rows of auctions and borrowed constraints
 
 
-def block_binding(binding: DataFrame, branches: DataFrame, contingencies: DataFrame, gtcs: DataFrame) -> DataFrame:
+def block_binding(binding: DataFrame, branches: DataFrame, contingencies: DataFrame, gtcs: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """Binding rows of an auction's block (snapshot, device_name, direction, contingency) with branch_index, sign and outcome. ``branches``
-    has branch_id, branch_index and is_name_reversed; contingencies branch_indexes, n_lost, n_splits and is_empty; ``gtcs`` gtc_id."""
+    has branch_id, branch_index and is_name_reversed; contingencies branch_indexes, n_lost, n_splits and is_empty; ``gtcs`` gtc_id.
+
+    Where many contingencies take out the same branches, or one takes out very many, contingencies have an outage_set instead of
+    branch_indexes, and ``members`` (snapshot, outage_set, branch_index) a row for each branch of a set."""
     lines = branches.select(S, name_key(F.col("branch_id")).alias("__name"), "branch_index", F.coalesce("is_name_reversed", F.lit(False)).alias("__back"))
-    cut = contingencies.select(S, name_key(F.col("contingency_id")).alias("__ctg"), "branch_indexes", "n_lost", "n_splits", "is_empty")
+    cut = contingencies.select(S, name_key(F.col("contingency_id")).alias("__ctg"), "branch_indexes" if members is None else "outage_set", "n_lost", "n_splits", "is_empty")
     known = gtcs.select(S, name_key(F.col("gtc_id")).alias("__name")).distinct().withColumn("__gtc", F.lit(True))
     df = binding.withColumns({"__name": name_key(F.col("device_name")), "__ctg": name_key(F.coalesce("contingency", F.lit("")))})
     df = df.join(known, [S, "__name"], "left").join(lines, [S, "__name"], "left").join(cut, [S, "__ctg"], "left")
+    is_out = F.array_contains("branch_indexes", F.col("branch_index"))
+    if members is not None:
+        is_out = F.col("__out")
+        df = df.join(members.select(S, "outage_set", "branch_index", F.lit(True).alias("__out")).distinct(), [S, "outage_set", "branch_index"], "left")
     way = F.upper(F.trim("direction"))
     sign = F.when(way.startswith("FROM"), 1).when(way.startswith("TO"), -1) * F.when(F.col("__back"), -1).otherwise(1)
-    return df.withColumn("sign", sign).withColumn("outcome", _outcome("device")).select(*binding.columns, "branch_index", "sign", "outcome")
+    return df.withColumn("sign", sign).withColumn("outcome", _outcome("device", is_out)).select(*binding.columns, "branch_index", "sign", "outcome")
 
 
-def _outcome(what: str) -> Column:
+def _outcome(what: str, is_out: Column) -> Column:
     return (
         F.when(F.col("__gtc"), "used_gtc").when(F.col("branch_index").isNull(), f"{what}_not_a_branch").when(F.col("sign").isNull(), "direction_not_recognized")
         .when(F.col("__ctg") == "", "used_base_case").when(F.col("is_empty") & (F.col("n_lost") > 0), "binding_under_contingency_absent_in_model")
         .when(F.col("is_empty"), "used_non_topological_contingency").when(F.col("is_empty").isNull(), "contingency_unknown")
-        .when(F.array_contains("branch_indexes", F.col("branch_index")), f"{what}_is_outaged_by_its_contingency")
+        .when(is_out, f"{what}_is_outaged_by_its_contingency")
         .when(F.col("n_lost") > 0, "used_contingency_partial").when(F.col("n_splits") > 0, "used_contingency_split_bus").otherwise("used_contingency")
     )
 

@@ -172,13 +172,14 @@ CASE WHEN p_size IS NULL THEN 'device_not_a_branch' WHEN d <> 'F' THEN 'directio
 def block_binding_outcomes(spark, sf_dir):
     lines = table(spark, sf_dir, "part").where("p_size > 3").select(F.lit("s").alias(S), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("branch_id"), F.col("p_partkey").alias("branch_index"), (F.col("p_size") % 2 == 0).alias("is_name_reversed"))
     n = F.col("s_nationkey")
-    parts = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 100).alias("k")).agg(F.collect_list("p_partkey").alias("branch_indexes"))
-    ctg = table(spark, sf_dir, "supplier").where("s_nationkey > 1").withColumn("k", F.col("s_suppkey") % 100).join(parts, "k").select(F.lit("s").alias(S), F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("contingency_id"), "branch_indexes", (n % 2).alias("n_lost"), F.when(n % 3 == 0, 1).otherwise(0).alias("n_splits"), (n < 5).alias("is_empty"))
+    # a set of parts is many suppliers' outage: it is listed once, a row for each part
+    sets = table(spark, sf_dir, "part").select(F.lit("s").alias(S), (F.col("p_partkey") % 100).alias("outage_set"), F.col("p_partkey").alias("branch_index"))
+    ctg = table(spark, sf_dir, "supplier").where("s_nationkey > 1").select(F.lit("s").alias(S), F.concat(F.lit("C"), F.col("s_suppkey").cast("string")).alias("contingency_id"), (F.col("s_suppkey") % 100).alias("outage_set"), (n % 2).alias("n_lost"), F.when(n % 3 == 0, 1).otherwise(0).alias("n_splits"), (n < 5).alias("is_empty"))
     line = table(spark, sf_dir, "lineitem")
     rows = line.select(F.lit("s").alias(S), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("device_name"), F.when(F.col("l_linestatus") == "F", F.when(F.col("l_partkey").isNotNull(), "From")).otherwise("none").alias("direction"), F.when(F.col("l_suppkey") % 3 > 0, F.concat(F.lit("C"), F.col("l_suppkey").cast("string"))).alias("contingency"))
     none = spark.createDataFrame([], f"{S} string, gtc_id string")
     sign = F.when(F.col("branch_index").isNotNull(), F.col("sign")).alias("sign")
-    return reports.block_binding(rows, lines, ctg, none).select("id", "branch_index", sign, "outcome")
+    return reports.block_binding(rows, lines, ctg, none, sets).select("id", "branch_index", sign, "outcome")
 
 
 @query("""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, o_orderkey AS doc_id, o_orderdate + INTERVAL (o_custkey % 50) HOUR AS posted FROM orders), r AS (SELECT *, row_number() OVER (PARTITION BY delivery_date ORDER BY posted DESC, length(CAST(doc_id AS VARCHAR)) DESC, doc_id DESC) AS n FROM d) SELECT delivery_date, doc_id FROM r WHERE n = 1""")
