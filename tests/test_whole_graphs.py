@@ -54,3 +54,15 @@ def test_every_edge_counts(spark):
             ends.setdefault(r["l_returnflag"], []).append((customer[r["l_orderkey"]] * 2, r["l_suppkey"] * 2 + 1))
     want = {(s, n, c) for s, e in ends.items() for n, c in walked(e).items()}
     assert {tuple(r) for r in QUERIES["whole_connected_components"](spark, D).select("snap", "node", "component").collect()} == want
+
+
+def test_what_a_task_sends_is_a_forest(spark):
+    rng = random.Random(6)
+    edges = [(s, rng.randrange(60), 100 + rng.randrange(40)) for s in ("x", "y") for _ in range(3000)]
+    df = spark.createDataFrame([*edges, ("x", 5, 5), (None, 1, 2)], "s string, a long, b long").coalesce(1)
+    sent = graph.forests(df, "s").collect()
+    for s in ("x", "y"):
+        want = walked([(a, b) for t, a, b in edges if t == s])
+        some = [(r["a"], r["b"]) for r in sent if r["s"] == s]
+        assert len(some) < len(want) and walked(some) == want
+    assert [(r["a"], r["b"]) for r in sent if r["s"] is None] == [(2, 1)]
