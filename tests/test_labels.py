@@ -53,3 +53,13 @@ def test_substations_along_many_matched_lines(spark):
     lines = spark.createDataFrame([(2 * k + 1, 2 * k + 2, f"S{k}", f"S{k + 1}") for k in range(11)], "a long, b long, sa string, sb string")
     nodes = spark.createDataFrame([(0, "S0")], "node long, label string")
     assert dict(map(tuple, payload.substations(nodes, inside, lines).collect())) == {n: f"S{n // 2}" for n in range(24)}
+
+
+def test_small_parts_are_followed_together(spark):
+    rng = np.random.default_rng(8)
+    links = [(20 * k + i, 20 * k + i + 1) for k in range(60) for i in range(int(rng.integers(1, 9)))]
+    labels = [(20 * k + int(rng.integers(0, 9)), str(rng.choice(["p", "q", "r"]))) for k in range(60) for _ in range(2)]
+    labels = [(n, x) for n, x in labels if n in {v for e in links for v in e}]
+    got = payload.spread_labels(*frames(spark, labels, links), 100)
+    assert "FlatMapCoGroupsInPandas [deal" in got._jdf.queryExecution().executedPlan().toString()
+    assert {r["node"]: r["label"] for r in got.collect()} == walked(labels, links)

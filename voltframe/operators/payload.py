@@ -40,37 +40,41 @@ def nearest(a: pd.Series, b: pd.Series, given: list[tuple]) -> dict:
 def spread_labels(labels: DataFrame, links: DataFrame, followed: int = FOLLOWED) -> DataFrame:
     """node, label: each node has the label (node, label) that is the fewest links (a, b) away, the least of several; nodes that no label reaches aren't listed.
 
-    Links are dealt out by connected parts. A part with one label has that label. In others labels are followed within one
+    Links are dealt out by connected parts, many small ones to a task. A part with one label has that label. In others labels are followed within one
     task, or, in a part of more than ``followed`` links, in ranges of its nodes: each range follows what reaches it
     to its edges, and ranges tell each other until nothing gets nearer. So the rounds are those in which a nearest way
     crosses ranges, not its links, and there is no last round but the one that changes nothing.
     """
     known = shared(labels.where("node is not null and label is not null").groupBy("node").agg(F.min("label").alias("label")))
-    ways = shared(links.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("by", F.lit(0)))
-    nodes = ways.select("by", F.col("a").alias("node")).unionAll(ways.select("by", "b"))
+    # as they come: links that lie together stay so, which leaves components little to send
+    ways = shared(links.where("a is not null and b is not null and a <> b").select("a", "b", F.lit(0).alias("by")))
+    nodes = ways.select("by", F.explode(F.array("a", "b")).alias("node"))
     part = shared(components(nodes, ways, "node", "a", "b", "by", followed).select("node", "component"))
-    at = known.join(part, "node")
-    state = ways.join(part.withColumnRenamed("node", "a"), "a").groupBy("component").agg(F.count("*").alias("n_links")).join(at.groupBy("component").agg(F.min("label").alias("only"), F.max("label").alias("other")), "component")
-    state = shared(state)
+    at = shared(known.join(part, "node"))
+    state = shared(at.groupBy("component").agg(F.min("label").alias("only"), F.max("label").alias("other")))
     single = part.join(state.where("only = other").select("component", F.col("only").alias("label")), "component").select("node", "label")
     alone = known.join(part, "node", "left_anti")
-    several = state.where("only <> other").select("component", "n_links")
-    mixed = ways.join(part.withColumnRenamed("node", "a"), "a").join(several, "component").select("component", "n_links", "a", "b")
+    several = part.join(state.where("only <> other").select("component"), "component")
+    mixed = shared(ways.join(several.withColumnRenamed("node", "a"), "a").select("component", "a", "b"))
+    sizes = shared(mixed.groupBy("component").agg(F.count("*").alias("n_links")))
+    n_small, n_large = sizes.agg(*[F.coalesce(F.sum(F.when(x, F.col("n_links"))), F.lit(0)) for x in (F.col("n_links") <= followed, F.col("n_links") > followed)]).first()
     key, label = (df.schema[c].dataType.simpleString() for df, c in ((part, "node"), (known, "label")))
-    group = part.schema["component"].dataType.simpleString()
 
     def follow(key: tuple, way: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         best = nearest(way["a"], way["b"], list(zip(given["node"], given["far"], given["label"], strict=True)))
         return pd.DataFrame([(n, d, x) for n, (d, x) in best.items()], columns=["node", "far", "label"])
 
     schema = f"node {key}, far long, label {label}"
-    small = mixed.where(F.col("n_links") <= followed).groupBy("component")
-    given = at.join(several.where(F.col("n_links") <= followed), "component").select("component", "node", F.lit(0).cast("long").alias("far"), "label")
-    found = small.cogroup(given.withColumnRenamed("component", "__c").groupBy("__c")).applyInPandas(follow, schema).select("node", "label")
-    out = single.unionAll(alone).unionAll(found)
-    large = shared(mixed.where(F.col("n_links") > followed))
-    n_large = large.count()
+    out = single.unionAll(alone)
+    if n_small:
+        # parts have no link between them, so that several can be followed at once
+        deal = F.pmod(F.xxhash64("component"), F.lit(-(-n_small // followed))).alias("deal")
+        small = sizes.where(F.col("n_links") <= followed).select("component")
+        way = mixed.join(small, "component").select(deal, "a", "b")
+        given = at.join(small, "component").select(deal.alias("__deal"), "node", F.lit(0).cast("long").alias("far"), "label")
+        out = out.unionAll(way.groupBy("deal").cogroup(given.groupBy("__deal")).applyInPandas(follow, schema).select("node", "label"))
     if n_large:
+        large = mixed.join(sizes.where(F.col("n_links") > followed).select("component"), "component")
         out = out.unionAll(_followed_in_ranges(large, at, -(-n_large // followed), schema, follow))
     return out.select(F.col("node").cast(key), "label")
 
