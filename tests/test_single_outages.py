@@ -45,6 +45,51 @@ def test_single_outages_against_networks_solved_anew(monkeypatch, seed, kept):
     assert whole > n / 2
 
 
+def loops(seed, n, extra):
+    """A line of n buses and random branches between them, some parallel: f, t, y, q, slack."""
+    rng = np.random.default_rng(seed)
+    f, t = np.concatenate([np.arange(n - 1), rng.integers(0, n, extra)]), np.concatenate([np.arange(1, n), rng.integers(0, n, extra)])
+    f, t = f[f != t], t[f != t]
+    return f, t, 1 / rng.uniform(0.05, 1, len(f)), rng.normal(size=n), int(rng.integers(n))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_parts_that_fit_one_array_arent_eliminated_bus_by_bus(monkeypatch, seed):
+    # a mesh of thousands of buses fills in; its elimination by fronts didn't end
+    monkeypatch.setattr(dc, "KEPT", 60)
+    monkeypatch.setattr(dc, "System", None)
+    f, t, y, q, slack = loops(seed, 40, 70)
+    alone, left, right = outages.single(40, f, t, y, q, slack)
+    for j in range(len(f)):
+        if want := solved_anew(40, f, t, y, q, slack, j):
+            assert (left[j], right[j]) == pytest.approx(want, abs=1e-6) and not alone[j]
+
+
+@pytest.mark.parametrize("kept", [1 << 23, 60])
+def test_larger_parts_and_negative_reactances(monkeypatch, kept):
+    monkeypatch.setattr(dc, "KEPT", kept)
+    f, t, y, q, slack = loops(5, 30, 60)
+    array = outages.single(30, f, t, y, q, slack)
+    monkeypatch.setattr(outages, "DENSE", 100)
+    for one, other in zip(array, outages.single(30, f, t, y, q, slack), strict=True):
+        np.testing.assert_allclose(one, other, atol=1e-6)
+    monkeypatch.undo()
+    monkeypatch.setattr(dc, "KEPT", kept)
+    y[::7] *= -0.1
+    alone, left, right = outages.single(30, f, t, y, q, slack)
+    for j in np.flatnonzero(np.isfinite(left)):
+        if want := solved_anew(30, f, t, y, q, slack, j):
+            assert (left[j], right[j]) == pytest.approx(want, abs=1e-5)
+
+
+def test_an_array_is_inverted_by_halves():
+    a = np.random.default_rng(0).normal(size=(700, 900))
+    a = a @ a.T
+    got = a.copy()
+    outages.inverted(got)
+    np.testing.assert_allclose(got @ a, np.eye(700), atol=1e-8)
+
+
 def test_networks_that_an_outage_splits():
     # a line A-B-C-D with a second way between B and C; C's branch to D and A's to B are bridges to single buses
     f, t, y = np.array([0, 1, 1, 2]), np.array([1, 2, 2, 3]), np.ones(4)
