@@ -1,12 +1,14 @@
 """Components of large snapshots, whose edges aren't gathered, and queries over every edge, against a walk from each end."""
 
 import random
+from collections import Counter
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 
 from voltframe.operators import graph
-from voltframe.plans.queries import QUERIES
+from voltframe.plans.queries import ORACLES, QUERIES
 
 D = "/root/testdata/sf0.001"
 
@@ -56,6 +58,28 @@ def test_every_edge_counts(spark):
     assert {tuple(r) for r in QUERIES["whole_connected_components"](spark, D).select("snap", "node", "component").collect()} == want
 
 
+def test_main_component_takes_every_edge(spark, tmp_path):
+    # a large and a small network, a pair, a pair under another flag; no line is a first one of the largest quantity
+    rng = random.Random(8)
+    lines = [(o, rng.randrange(5), "N", rng.randrange(2, 8), float(rng.randrange(1, 50))) for o in range(20) for _ in range(6)]
+    lines += [(o, 10 + rng.randrange(2), "N", 3, 7.0) for o in range(20, 26) for _ in range(3)] + [(30, 20, "N", 2, 50.0), (31, 30, "R", 1, 49.0)]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE lineitem(l_orderkey BIGINT, l_suppkey BIGINT, l_returnflag VARCHAR, l_linenumber INTEGER, l_quantity DOUBLE)")
+    db.executemany("INSERT INTO lineitem VALUES (?, ?, ?, ?, ?)", lines)
+    db.execute("CREATE TABLE orders AS SELECT CAST(i AS BIGINT) AS o_orderkey, CAST(100 + i AS BIGINT) AS o_custkey FROM range(40) r(i)")
+    for t in ("lineitem", "orders"):
+        db.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet'")
+    want = set()
+    for s in ("N", "R"):
+        found = walked([((100 + o) * 2, k * 2 + 1) for o, k, f, _, _ in lines if f == s])
+        size = Counter(found.values())
+        main = max(size, key=lambda c: (size[c], c))
+        want |= {(s, x, None if c == main else "island") for x, c in found.items()}
+    got = {tuple(r) for r in QUERIES["main_component"](spark, str(tmp_path)).select("snap", "node", "reason").collect()}
+    assert got == want == set(db.execute(f"SELECT snap, node, reason FROM ({ORACLES['main_component']})").fetchall())
+    assert {r[2] for r in got} == {None, "island"}
+
+
 def test_what_a_task_sends_is_a_forest(spark):
     rng = random.Random(6)
     edges = [(s, rng.randrange(60), 100 + rng.randrange(40)) for s in ("x", "y") for _ in range(3000)]
